@@ -42,8 +42,10 @@ def pending(rows: DataFrame, ledger: DataFrame, report: str, key: str = "id") ->
     return left.join(_done(ledger, "details"), F.col(key) == F.col("done_id"), "left_semi")
 
 
-def pick_pending(inbound: DataFrame, ledger: DataFrame | None, report: str) -> DataFrame:
-    """Full staging rows still to do, without shuffling payloads when few are due.
+def pick_pending(
+    inbound: DataFrame, ledger: DataFrame | None, report: str
+) -> DataFrame | None:
+    """Full staging rows still to do, None when there are none.
 
     The ledger is compared on ids alone, which reads one column of the staging
     table. A pickup of bounded size comes back to the payload by broadcast; a
@@ -52,6 +54,9 @@ def pick_pending(inbound: DataFrame, ledger: DataFrame | None, report: str) -> D
     if ledger is None:
         return inbound
     due = pending(inbound.select("id"), ledger, report)
-    if due.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+    counted = due.limit(BROADCAST_IDS + 1).count()
+    if counted == 0:
+        return None
+    if counted <= BROADCAST_IDS:
         due = F.broadcast(due)
     return inbound.join(due, "id", "left_semi")

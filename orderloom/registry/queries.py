@@ -7,6 +7,7 @@ over all of them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,13 @@ from orderloom.operators import ledger as ledger_ops
 from orderloom.operators import orders as order_ops
 from orderloom.operators import versions as version_ops
 from orderloom.operators.attributes import is_pack, line_attributes, pack_size_label
-from orderloom.plans import prepack, reports
-from orderloom.plans.prepare import attributed_lines, order_allocations
+from orderloom.plans import full_run, monitor, prepack, reports
+from orderloom.plans.prepare import CATALOGUE_ROUTES, attributed_lines, order_allocations
 from orderloom.registry import oracle
 from orderloom.routes import ALL_ROUTES, PREPACK_ROUTES
 from orderloom.sources import derived_orders as derived
+from orderloom.sources.tables import ReportStore, read_inbound, shared_folder
+from orderloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +72,11 @@ def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _needed(spark: SparkSession, sf_dir: str, routes: list[str]) -> DataFrame | None:
+    """The catalogue, where one of the routes uses it."""
+    return _catalogue(spark, sf_dir) if CATALOGUE_ROUTES.intersection(routes) else None
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers of all routed orders, without touching their lines."""
     parsed = order_ops.parse_orders(order_ops.inbound_scan(_inbound(spark, sf_dir)))
@@ -86,11 +94,11 @@ def _lines(spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES) ->
 
 
 def _attributed(spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES) -> DataFrame:
-    return attributed_lines(_inbound(spark, sf_dir), _catalogue(spark, sf_dir), routes)
+    return attributed_lines(_inbound(spark, sf_dir), _needed(spark, sf_dir, routes), routes)
 
 
 def _allocations(spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES) -> DataFrame:
-    return order_allocations(_inbound(spark, sf_dir), _catalogue(spark, sf_dir), routes)
+    return order_allocations(_inbound(spark, sf_dir), _needed(spark, sf_dir, routes), routes)
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,6 +614,110 @@ def header_key(spark, sf_dir):
     )
 
 
+# Sinks, ledger, runs
+
+
+def _store(spark: SparkSession, name: str) -> ReportStore:
+    return ReportStore(spark, shared_folder(spark, name))
+
+
+@query(oracle.details())
+def write_report(spark, sf_dir):
+    store = _store(spark, "write-report")
+    store.write_report("details", reports.details_report(_allocations(spark, sf_dir)), "first")
+    return store.read_runs("details", ["first"]).drop("run")
+
+
+@query(_sql("SELECT source_id, 'details' AS report, 'Success' AS status FROM po"))
+def status_ledger(spark, sf_dir):
+    store = _store(spark, "ledger")
+    store.commit("details", _orders(spark, sf_dir).select("source_id"), "first")
+    return store.ledger().select("source_id", "report", "status")
+
+
+@query(
+    oracle.totals(
+        "'style_color_size-' || source_id AS header_id, "
+        + oracle.HEAD
+        + ", coalesce(total_qty, 0) AS total_order_qty, "
+        "CAST(coalesce(total_amount, 0) AS DECIMAL(29,2)) AS total_order_amount, start_date, "
+        "cancel_date AS complete_date, department, version"
+    )
+)
+def run_all_reports(spark, sf_dir):
+    """Two pickups, late orders first, and a repeat that must add nothing."""
+    store = _store(spark, "reports")
+    inbound, catalogue = _staged_inbound(spark, sf_dir, store), _catalogue(spark, sf_dir)
+    for received in (inbound.filter("created >= '1998-01-01'"), inbound, inbound):
+        full_run.run_all_reports(store, received, catalogue)
+    return full_run.report_headers(store, "style_color_size")
+
+
+_COUNTED = {
+    "details": (oracle.details(), "qty"),
+    "style_color": (oracle.style_color(), "qty_ordered"),
+    "store": (oracle.store(), "store_qty"),
+    "style_color_size": (oracle.style_color_size(), "qty"),
+    "prepack": (oracle.prepack(), "component_qty"),
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{report}' AS report, count(*) AS detail_rows, "
+        f"CAST(sum({column}) AS BIGINT) AS quantity FROM ({sql})"
+        for report, (sql, column) in _COUNTED.items()
+    )
+)
+def incremental_run(spark, sf_dir):
+    """The same tables by stream; what every report holds afterwards."""
+    store = _store(spark, "stream")
+    _staged_inbound(spark, sf_dir, store)
+    stream = incremental.incremental_run(
+        spark,
+        f"{store.root}/inbound",
+        store,
+        f"{store.root}/checkpoint",
+        _catalogue(spark, sf_dir),
+    )
+    stream.awaitTermination()
+    parts = [
+        full_run.report_details(store, report).agg(
+            F.lit(report).alias("report"),
+            F.count("*").alias("detail_rows"),
+            F.sum(column).cast("long").alias("quantity"),
+        )
+        for report, (_, column) in _COUNTED.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _staged_inbound(spark: SparkSession, sf_dir: str, store: ReportStore) -> DataFrame:
+    """The staging table as files, as the pickups find it."""
+    _inbound(spark, sf_dir).write.parquet(f"{store.root}/inbound")
+    return read_inbound(spark, f"{store.root}/inbound")
+
+
+@query(
+    _sql(
+        ", lines AS (SELECT source_id, count(*) AS n FROM line GROUP BY source_id), "
+        "pairs AS (SELECT source_id, count(*) AS n FROM alloc GROUP BY source_id) "
+        "SELECT source_id, company AS company_code, CASE WHEN NOT well_formed THEN 'bad JSON' "
+        "WHEN route IS NULL THEN 'no route' ELSE 'details missing' END AS reason "
+        "FROM received JOIN done ON id = source_id WHERE NOT details "
+        "UNION ALL SELECT source_id, company, CASE WHEN lines.n IS NULL THEN 'no lines' "
+        "ELSE 'no valid pair' END FROM po JOIN done ON id = source_id "
+        "LEFT JOIN lines USING (source_id) LEFT JOIN pairs USING (source_id) "
+        "WHERE details AND pairs.n IS NULL"
+    )
+)
+def error_monitor(spark, sf_dir):
+    ledger = _ledger(spark, sf_dir)
+    done = ledger.filter("report = 'details'").select("source_id")
+    totals = reports.order_totals(_allocations(spark, sf_dir)).join(done, "source_id", "left_semi")
+    return monitor.error_monitor(_inbound(spark, sf_dir), ledger, totals)
+
+
 # Strict pairing: the original joins' own keys
 
 

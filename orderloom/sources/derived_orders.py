@@ -2,12 +2,13 @@
 
 Every order of ``orders`` becomes one transmission whose document carries the
 order's ``lineitem`` rows; every rule is plain arithmetic on the base columns,
-so a SQL engine can compute the expected reports without touching JSON.
+so a SQL engine can compute the expected reports without touching JSON. The
+document text is put together by SQL expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The vocabulary of the derived documents.
@@ -18,30 +19,31 @@ BELK_TYPES = ["BK", "RL", "SA"]
 SIZES = ["S", "M", "L"]
 VENDOR_SIZES = ["S REGULAR", "M TALL", "L"]
 
+PART, SUPP, KEY = "l_partkey", "l_suppkey", "o_orderkey"
+COMPANY = "o_custkey % 4"
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
+def _pick(values: list[str], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({index} as int) + 1)"
 
-def _quoted(**fields: Column) -> list[Column]:
-    """``"name":"value"`` pieces for text-valued fields."""
-    return [
-        F.concat(F.lit(f'"{name}":"'), value.cast("string"), F.lit('"'))
-        for name, value in fields.items()
-    ]
 
+def _texts(**fields: str) -> str:
+    """``"name":"value"`` members, comma-separated, for text-valued fields."""
+    return ", ',', ".join(f"""'"{name}":"', {value}, '"'""" for name, value in fields.items())
 
-def _object(parts: list[Column]) -> Column:
-    """A JSON object; a NULL part is left out."""
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
+def _object(*parts: str) -> str:
+    """A JSON object of member lists; a NULL part is left out."""
+    return f"concat('{{', concat_ws(',', {', '.join(parts)}), '}}')"
 
-def _money(cents: Column) -> Column:
-    return F.concat(
-        F.floor(cents / 100),
-        F.lit("."),
-        F.lpad((cents % 100).cast("string"), 2, "0"),
-    )
+
+def _member(name: str, json: str) -> str:
+    return f"""concat('"{name}":', {json})"""
+
+
+def _money(cents: str) -> str:
+    return f"concat(({cents}) div 100, '.', lpad(({cents}) % 100, 2, '0'))"
 
 
 def _retail(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,103 +58,133 @@ def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _retail(spark, sf_dir, "lineitem")
         .withColumn("line_no", F.row_number().over(position))
-        .select(
+        .selectExpr(
             "l_orderkey",
             "line_no",
             "l_partkey",
             "l_suppkey",
             "l_linenumber",
-            F.col("l_quantity").cast("long").alias("l_quantity"),
+            "cast(l_quantity as bigint) as l_quantity",
         )
     )
 
 
-def _sdq(segmented: Column) -> Column:
+def _sdq(segmented: str) -> str:
     """Store allocations, one object or an array of two-store segments."""
-    part, last = F.col("l_partkey"), F.col("l_linenumber") % 3
+    last = "l_linenumber % 3"
 
-    def slot(j: int, first: int) -> Column:
-        store = F.lpad(((F.col("l_suppkey") + 37 * j) % 200).cast("string"), 4, "0")
-        qty = F.when((part + j) % 17 == 0, F.lit("x")).otherwise(
-            ((F.col("l_quantity") + j) % 6).cast("string")
-        )
-        keys = {f"SDQ{first:02d}": store, f"SDQ{first + 1:02d}": qty}
-        return F.when(last >= j, F.concat_ws(",", *_quoted(**keys)))
+    def slot(j: int, first: int) -> str:
+        store = f"lpad(({SUPP} + {37 * j}) % 200, 4, '0')"
+        qty = f"if(({PART} + {j}) % 17 = 0, 'x', cast((l_quantity + {j}) % 6 as string))"
+        members = _texts(**{f"SDQ{first:02d}": store, f"SDQ{first + 1:02d}": qty})
+        return f"if({last} >= {j}, concat({members}), null)"
 
-    head = _quoted(SDQ01=F.lit("EA"), SDQ02=F.lit("92"))
-    unpaired = F.when(part % 5 == 0, _quoted(SDQ23=F.lit("0999"))[0])
-    flat = _object([*head, slot(0, 3), slot(1, 5), slot(2, 7), unpaired])
-    first = _object([*head, slot(0, 3), slot(1, 5), unpaired])
-    second = F.when(last >= 2, _object([*head, slot(2, 3)]))
-    segments = F.concat(F.lit("["), F.concat_ws(",", first, second), F.lit("]"))
-    return F.when(part % 13 != 0, F.when(segmented, segments).otherwise(flat))
+    head = f"""concat({_texts(SDQ01="'EA'", SDQ02="'92'")})"""
+    unpaired = f"""if({PART} % 5 = 0, concat({_texts(SDQ23="'0999'")}), null)"""
+    flat = _object(head, slot(0, 3), slot(1, 5), slot(2, 7), unpaired)
+    first = _object(head, slot(0, 3), slot(1, 5), unpaired)
+    second = f"if({last} >= 2, {_object(head, slot(2, 3))}, null)"
+    segments = f"concat('[', concat_ws(',', {first}, {second}), ']')"
+    return f"if({PART} % 13 <> 0, if({segmented}, {segments}, {flat}), null)"
 
 
-def _bom(is_maurices: Column) -> Column:
+def _bom() -> str:
     """Pack components; odd suppliers list them last to first."""
-    part = F.col("l_partkey")
-
-    def component(c: int) -> Column:
-        size = F.when(is_maurices, F.lit(VENDOR_SIZES[c % 3])).otherwise(F.lit(SIZES[c % 3]))
-        qty = (1 + (part + c) % 6).cast("string")
-        fields = _quoted(
-            VendorItemNumber=F.lit(f"CS{c}"),
-            ColorDescription=F.concat(F.lit("C"), (part + c) % 4),
+    maurices = f"{COMPANY} = 2"
+
+    def component(c: int) -> str:
+        size = f"if({maurices}, '{VENDOR_SIZES[c % 3]}', '{SIZES[c % 3]}')"
+        members = _texts(
+            VendorItemNumber=f"'CS{c}'",
+            ColorDescription=f"concat('C', ({PART} + {c}) % 4)",
             SizeDescription=size,
-            GTIN=F.lit(f"CG{c}"),
-            BuyerPartNumber=F.lit(f"CB{c}"),
-            ProductId=F.lit(f"CP{c}"),
-            Quantity=F.when(is_maurices, F.concat(qty, F.lit(".0"))).otherwise(qty),
+            GTIN=f"'CG{c}'",
+            BuyerPartNumber=f"'CB{c}'",
+            ProductId=f"'CP{c}'",
+            Quantity=f"concat(1 + ({PART} + {c}) % 6, if({maurices}, '.0', ''))",
         )
-        return F.when(part % 4 >= c, _object(fields))
+        return f"if({PART} % 4 >= {c}, {_object(f'concat({members})')}, null)"
 
     parts = [component(c) for c in range(4)]
-    listed = F.when(
-        F.col("l_suppkey") % 2 == 1, F.concat_ws(",", *reversed(parts))
-    ).otherwise(F.concat_ws(",", *parts))
-    return F.concat(F.lit("["), listed, F.lit("]"))
-
-
-def _line_document() -> Column:
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    company, key = F.col("o_custkey") % 4, F.col("o_orderkey")
-    kohls, arula, maurices, belk = (company == i for i in range(4))
-    cents = part % 900 + 100
-    vendor_size = F.concat(F.lit('"'), _pick(VENDOR_SIZES, part % 3), F.lit('"'))
-    segmented = (F.col("line_no") % 2 == 1) & (
-        (kohls & (key % 4 == 1)) | (arula & (key % 2 == 0)) | belk
+    forward, backward = ", ".join(parts), ", ".join(reversed(parts))
+    return (
+        f"concat('[', if({SUPP} % 2 = 1, concat_ws(',', {backward}), "
+        f"concat_ws(',', {forward})), ']')"
+    )
+
+
+def _line_document() -> str:
+    cents = f"{PART} % 900 + 100"
+    vendor_size = f"""concat('"', {_pick(VENDOR_SIZES, f"{PART} % 3")}, '"')"""
+    segmented = (
+        f"line_no % 2 = 1 and (({COMPANY} = 0 and {KEY} % 4 = 1) "
+        f"or ({COMPANY} = 1 and {KEY} % 2 = 0) or {COMPANY} = 3)"
     )
-    packed = (kohls & (key % 4 >= 2)) | (
-        (arula | maurices | (belk & (key % 3 != 2))) & (part % 3 == 0)
+    packed = (
+        f"({COMPANY} = 0 and {KEY} % 4 >= 2) or ({PART} % 3 = 0 and "
+        f"({COMPANY} in (1, 2) or ({COMPANY} = 3 and {KEY} % 3 <> 2)))"
+    )
+    pack = f"if({SUPP} % 7 = 0, '', cast(l_linenumber as string))"
+    members = _texts(
+        LineItemId="line_no",
+        VendorItemNumber=f"concat('ST', {PART} % 40)",
+        ColorDescription=f"concat('C', {SUPP} % 5)",
+        SizeDescription=_pick(SIZES, f"{PART} % 3"),
+        GTIN=f"concat('G', {PART})",
+        ProductId=f"concat('P', {PART})",
+        BuyerPartNumber=f"concat('B', {PART})",
+        UOMTypeCode="'EA'",
+        UnitPrice=_money(cents),
+        SalesPrice=f"if({PART} % 11 = 0, '', {_money(f'({cents}) * 2')})",
+        RetailPrice=_money(f"({cents}) * 2"),
+        Pack=pack,
+        PackSize=pack,
+        Quantity="concat(l_quantity, '.0')",
     )
-    pack = F.when(supp % 7 == 0, F.lit("")).otherwise(F.col("l_linenumber").cast("string"))
     return _object(
-        [
-            *_quoted(
-                LineItemId=F.col("line_no"),
-                VendorItemNumber=F.concat(F.lit("ST"), part % 40),
-                ColorDescription=F.concat(F.lit("C"), supp % 5),
-                SizeDescription=_pick(SIZES, part % 3),
-                GTIN=F.concat(F.lit("G"), part),
-                ProductId=F.concat(F.lit("P"), part),
-                BuyerPartNumber=F.concat(F.lit("B"), part),
-                UOMTypeCode=F.lit("EA"),
-                UnitPrice=_money(cents),
-                SalesPrice=F.when(part % 11 == 0, F.lit("")).otherwise(_money(cents * 2)),
-                RetailPrice=_money(cents * 2),
-                Pack=pack,
-                PackSize=pack,
-                Quantity=F.concat(F.col("l_quantity"), F.lit(".0")),
-            ),
-            F.concat(
-                F.lit('"VendorSizeDescription":'),
-                F.when(
-                    supp % 2 == 0, F.concat(F.lit('["x",'), vendor_size, F.lit("]"))
-                ).otherwise(vendor_size),
-            ),
-            F.concat(F.lit('"DestinationInfo":{"SDQ":'), _sdq(segmented), F.lit("}")),
-            F.when(packed, F.concat(F.lit('"BOMDetails":'), _bom(maurices))),
-        ]
+        f"concat({members})",
+        _member(
+            "VendorSizeDescription",
+            f"""if({SUPP} % 2 = 0, concat('["x",', {vendor_size}, ']'), {vendor_size})""",
+        ),
+        _member("DestinationInfo", _object(_member("SDQ", _sdq(segmented)))),
+        f"if({packed}, {_member('BOMDetails', _bom())}, null)",
+    )
+
+
+def _document() -> str:
+    def day(offset: int) -> str:
+        date = f"date_format(date_add(o_orderdate, {offset}), 'yyyyMMdd')"
+        return f"if({KEY} % 50 = 0, 'BAD', {date})"
+
+    def order_type(company: dict[int, str]) -> str:
+        cases = " ".join(f"when {COMPANY} = {i} then {sql}" for i, sql in company.items())
+        return f"case when {KEY} % 109 = 0 then 'ZZ' {cases} else 'NE' end"
+
+    details = (
+        "case when size(lines) = 1 then lines[0] "
+        "when size(lines) > 1 then concat('[', array_join(lines, ','), ']') end"
+    )
+    order = _texts(
+        ReferencePOType=order_type({0: _pick(KOHLS_TYPES, f"{KEY} % 4"), 2: "'SO'"}),
+        DepartmentNumber="concat('D', o_custkey % 10)",
+        RequestedShipDate=day(7),
+        DoNotDeliveryBefore=day(10),
+        CancelDate=day(30),
+        DivisionIdentifier="lpad(o_custkey % 300, 4, '0')",
+    )
+    header = _texts(
+        PurchaseOrderNumber="concat('PO', o_custkey)",
+        CompanyCode=_pick(COMPANIES, COMPANY),
+        PurchaseOrderTypeCode=order_type(
+            {1: _pick(ARULA_TYPES, f"{KEY} % 2"), 3: _pick(BELK_TYPES, f"{KEY} % 3")}
+        ),
+    )
+    body = _object(f"concat({order})", _member("PurchaseOrderDetails", details))
+    inner = _object(f"concat({header})", _member("PurchaseOrder", body))
+    return (
+        f"""concat('{{"PurchaseOrderHeader":', {inner}, """
+        f"if({KEY} % 107 = 0, '', '}}'))"
     )
 
 
@@ -163,78 +195,27 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     A few orders are deliberately unusable: other transaction types and
     statuses, cut-off documents and an order type nobody handles.
     """
-    orders = _retail(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate")
+    orders = _retail(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "cast(o_orderdate as timestamp) as o_orderdate"
     )
     lines = numbered_lines(spark, sf_dir)
-    rows = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").select(
+    rows = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").selectExpr(
         "o_orderkey",
         "o_custkey",
         "o_orderdate",
-        "line_no",
-        F.when(F.col("line_no").isNotNull(), _line_document()).alias("line"),
+        f"if(line_no is null, null, struct(line_no, {_line_document()} as line)) as entry",
     )
     grouped = rows.groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(
-        F.sort_array(
-            F.collect_list(F.when(F.col("line").isNotNull(), F.struct("line_no", "line")))
-        )["line"].alias("lines")
-    )
-    key, company = F.col("o_orderkey"), F.col("o_custkey") % 4
-
-    def day(offset: int) -> Column:
-        return F.when(key % 50 == 0, F.lit("BAD")).otherwise(
-            F.date_format(F.date_add(F.to_date("o_orderdate"), offset), "yyyyMMdd")
-        )
-
-    unknown = key % 109 == 0
-    details = F.when(F.size("lines") == 1, F.col("lines")[0]).when(
-        F.size("lines") > 1, F.concat(F.lit("["), F.array_join("lines", ","), F.lit("]"))
-    )
-    order_type = (
-        F.when(unknown, F.lit("ZZ"))
-        .when(company == 0, _pick(KOHLS_TYPES, key % 4))
-        .when(company == 2, F.lit("SO"))
-    )
-    type_code = (
-        F.when(unknown, F.lit("ZZ"))
-        .when(company == 1, _pick(ARULA_TYPES, key % 2))
-        .when(company == 3, _pick(BELK_TYPES, key % 3))
-        .otherwise(F.lit("NE"))
-    )
-    body = _object(
-        [
-            *_quoted(
-                ReferencePOType=order_type,
-                DepartmentNumber=F.concat(F.lit("D"), F.col("o_custkey") % 10),
-                RequestedShipDate=day(7),
-                DoNotDeliveryBefore=day(10),
-                CancelDate=day(30),
-                DivisionIdentifier=F.lpad((F.col("o_custkey") % 300).cast("string"), 4, "0"),
-            ),
-            F.concat(F.lit('"PurchaseOrderDetails":'), details),
-        ]
-    )
-    document = F.concat(
-        F.lit('{"PurchaseOrderHeader":'),
-        _object(
-            [
-                *_quoted(
-                    PurchaseOrderNumber=F.concat(F.lit("PO"), F.col("o_custkey")),
-                    CompanyCode=_pick(COMPANIES, company),
-                    PurchaseOrderTypeCode=type_code,
-                ),
-                F.concat(F.lit('"PurchaseOrder":'), body),
-            ]
-        ),
-        F.when(key % 107 == 0, F.lit("")).otherwise(F.lit("}")),
+        F.expr("sort_array(collect_list(entry)).line as lines")
     )
-    return grouped.select(
-        (key + 1).alias("id"),
-        document.alias("json"),
-        F.col("o_orderdate").alias("created"),
-        _pick(COMPANIES, company).alias("company_code"),
-        F.when(key % 101 == 0, F.lit("860")).otherwise(F.lit("850")).alias("transaction_type"),
-        F.when(key % 103 == 0, F.lit("Failed")).otherwise(F.lit("Downloaded")).alias("status"),
+    company = _pick(COMPANIES, COMPANY)
+    return grouped.selectExpr(
+        "o_orderkey + 1 as id",
+        f"{_document()} as json",
+        "o_orderdate as created",
+        f"{company} as company_code",
+        "if(o_orderkey % 101 = 0, '860', '850') as transaction_type",
+        "if(o_orderkey % 103 = 0, 'Failed', 'Downloaded') as status",
     )
 
 
