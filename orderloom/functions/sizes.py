@@ -13,9 +13,9 @@ def second_entry(text: Column) -> Column:
     return F.when(text.startswith("["), F.get(F.from_json(text, "array<string>"), F.lit(1)))
 
 
-def plain_text(text: Column) -> Column:
+def plain_text(path: str) -> Column:
     """The description when it is a plain string, NULL for an array."""
-    return scalar(text)
+    return scalar(path)
 
 
 def size_fallback(second: Column, plain: Column) -> Column:

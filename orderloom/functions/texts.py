@@ -16,12 +16,15 @@ def container(text: Column) -> Column:
     return F.when(is_container(text), text)
 
 
-def scalar(text: Column) -> Column:
-    """The text unless it is a JSON array or object.
+def scalar(path: str) -> Column:
+    """The text at a column path unless it is a JSON array or object.
 
     A plain string may start with a bracket too, so only those few are parsed.
     """
-    return F.when(is_container(text) & F.try_parse_json(text).isNotNull(), None).otherwise(text)
+    return F.expr(
+        f"if((startswith({path}, '[') or startswith({path}, '{{')) "
+        f"and try_parse_json({path}) is not null, null, {path})"
+    )
 
 
 def not_blank(text: Column) -> Column:

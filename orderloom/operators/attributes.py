@@ -45,7 +45,7 @@ def line_attributes(lines: DataFrame) -> DataFrame:
         "*",
         components(F.col("bom_text")).alias("bom"),
         second_entry(F.col("vendor_size_text")).alias("size_second"),
-        plain_text(F.col("vendor_size_text")).alias("size_plain"),
+        plain_text("vendor_size_text").alias("size_plain"),
     )
     second, plain = F.col("size_second"), F.col("size_plain")
     pack, bom, route = is_pack(), F.col("bom"), F.col("route")

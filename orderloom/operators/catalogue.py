@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.attributes import is_pack
 
+# A catalogue of up to this many rows is broadcast (about 100 bytes a row);
+# a larger one is joined by shuffle.
+BROADCAST_ROWS = 2_000_000
+
 
 def company_id_lookup(companies: DataFrame) -> DataFrame:
     """One id per company name, the smallest when there are several."""
@@ -18,10 +22,10 @@ def company_id_lookup(companies: DataFrame) -> DataFrame:
 def catalogue_lookup(companies: DataFrame, product: DataFrame, retail: DataFrame) -> DataFrame:
     """One color and size per company and product: lowest Pid, then color and size.
 
-    A product without retail rows stays with NULLs. No side is broadcast by
-    hint: the catalogue may be large, so the planner compares its measured size
-    with ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it, where
-    adaptive execution splits a product that dominates the lines.
+    A product without retail rows stays with NULLs. Nothing is broadcast by
+    hint here: the catalogue may be large, so the planner compares its measured
+    size with ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it,
+    where adaptive execution splits a product that dominates the lines.
     """
     per_pid = retail.groupBy("pid").agg(F.min(F.struct("color", "size")).alias("look"))
     chosen = (
@@ -37,13 +41,28 @@ def catalogue_lookup(companies: DataFrame, product: DataFrame, retail: DataFrame
     )
 
 
+def bounded(catalogue: DataFrame) -> DataFrame:
+    """Mark the catalogue for broadcast when a count shows that it fits."""
+    if catalogue.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return F.broadcast(catalogue)
+    return catalogue
+
+
 def catalogue_override(attributed: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Catalogue color and size first, the document's as fallback; packs keep theirs."""
-    joined = attributed.join(
+    """Catalogue color and size first, the document's as fallback; packs keep theirs.
+
+    Lines that never look anything up get a key of their own, so that a
+    shuffled join spreads them instead of gathering missing ids in one task.
+    """
+    looks = F.col("route").isin("BB", "BS") & F.col("product_id").isNotNull()
+    keyed = attributed.withColumn(
+        "look_key",
+        F.when(looks, F.col("product_id")).otherwise(F.concat(F.lit("\0"), F.col("source_id"))),
+    )
+    joined = keyed.join(
         catalogue,
         (F.upper("company") == F.col("catalogue_company"))
-        & (F.col("product_id") == F.col("catalogue_product"))
-        & F.col("route").isin("BB", "BS"),
+        & (F.col("look_key") == F.col("catalogue_product")),
         "left",
     )
     applies = (F.col("route") == "BS") | ((F.col("route") == "BB") & ~is_pack())
@@ -54,4 +73,6 @@ def catalogue_override(attributed: DataFrame, catalogue: DataFrame) -> DataFrame
             ),
             "size": F.when(applies, F.coalesce("catalogue_size", "size")).otherwise(F.col("size")),
         }
-    ).drop("catalogue_company", "catalogue_product", "catalogue_color", "catalogue_size")
+    ).drop(
+        "look_key", "catalogue_company", "catalogue_product", "catalogue_color", "catalogue_size"
+    )

@@ -98,23 +98,23 @@ def parse_orders(inbound: DataFrame) -> DataFrame:
             "doc"
         ),
     )
-    header = F.col("doc.PurchaseOrderHeader")
-    order = header["PurchaseOrder"]
+    header = "doc.PurchaseOrderHeader"
+    order = f"{header}.PurchaseOrder"
     fields = parsed.select(
         F.col("id").alias("source_id"),
         F.col("created").alias("downloaded_at"),
         "company_code",
         (F.col("doc").isNotNull() & F.col("doc.unreadable").isNull()).alias("readable"),
-        scalar(header["PurchaseOrderNumber"]).alias("customer_po"),
-        scalar(header["CompanyCode"]).alias("company"),
-        scalar(header["PurchaseOrderTypeCode"]).alias("type_code"),
-        scalar(order["ReferencePOType"]).alias("reference_type"),
-        scalar(order["DepartmentNumber"]).alias("department"),
-        order["RequestedShipDate"].alias("ship_text"),
-        order["DoNotDeliveryBefore"].alias("not_before_text"),
-        order["CancelDate"].alias("cancel_text"),
-        scalar(order["DivisionIdentifier"]).alias("division_store"),
-        container(order["PurchaseOrderDetails"]).alias("details_text"),
+        scalar(f"{header}.PurchaseOrderNumber").alias("customer_po"),
+        scalar(f"{header}.CompanyCode").alias("company"),
+        scalar(f"{header}.PurchaseOrderTypeCode").alias("type_code"),
+        scalar(f"{order}.ReferencePOType").alias("reference_type"),
+        scalar(f"{order}.DepartmentNumber").alias("department"),
+        F.col(f"{order}.RequestedShipDate").alias("ship_text"),
+        F.col(f"{order}.DoNotDeliveryBefore").alias("not_before_text"),
+        F.col(f"{order}.CancelDate").alias("cancel_text"),
+        scalar(f"{order}.DivisionIdentifier").alias("division_store"),
+        container(F.col(f"{order}.PurchaseOrderDetails")).alias("details_text"),
     )
     route = F.when(
         F.col("readable"),
@@ -169,7 +169,7 @@ def order_lines(inbound: DataFrame, routes: Iterable[str] = ALL_ROUTES) -> DataF
         *HEADER_COLUMNS,
         "line_pos",
         F.col("line").isNotNull().alias("has_line"),
-        *[scalar(F.col("line")[field]).alias(name) for field, name in LINE_FIELDS.items()],
+        *[scalar(f"line.{field}").alias(name) for field, name in LINE_FIELDS.items()],
         F.col("line.VendorSizeDescription").alias("vendor_size_text"),
         container(F.col("line.DestinationInfo.SDQ")).alias("sdq_text"),
         container(F.col("line.BOMDetails")).alias("bom_text"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.allocations import allocations, line_stores
 from orderloom.operators.attributes import ATTRIBUTES
+from orderloom.operators.catalogue import bounded
 from orderloom.operators.ledger import DOWNSTREAM, pick_pending
 from orderloom.operators.orders import HEADER_COLUMNS, headers, inbound_scan
 from orderloom.operators.versions import PO_KEY, arrival_version, inherit_version
@@ -68,7 +69,8 @@ def _details_phase(
     store: ReportStore, due: DataFrame, catalogue: DataFrame | None, run: str
 ) -> bool:
     """Parse, write details and order rows; False when nothing was usable."""
-    staged = line_stores(attributed_lines(due, catalogue)).select(*STAGED)
+    looked_up = None if catalogue is None else bounded(catalogue)
+    staged = line_stores(attributed_lines(due, looked_up)).select(*STAGED)
     store.write_report("lines", staged, run)
     lines = store.read_runs("lines", [run])
     if lines.isEmpty():

@@ -73,9 +73,9 @@ def prepack_summary(lines: DataFrame) -> DataFrame:
     parts = bom_components(labelled).select(
         "*",
         second_entry(part["SizeDescription"]).alias("cut_second"),
-        plain_text(part["SizeDescription"]).alias("cut_plain"),
+        plain_text("component.SizeDescription").alias("cut_plain"),
     )
-    style = scalar(part["VendorItemNumber"])
+    style = scalar("component.VendorItemNumber")
     return parts.select(
         header_key("prepack").alias("header_id"),
         "source_id",
@@ -92,14 +92,14 @@ def prepack_summary(lines: DataFrame) -> DataFrame:
         )
         .otherwise(style)
         .alias("component_style"),
-        scalar(part["ColorDescription"]).alias("component_color"),
+        scalar("component.ColorDescription").alias("component_color"),
         F.col("cut_plain").alias("component_size"),
-        by_route({"KP BB": scalar(part["GTIN"])}).alias("component_upc"),
+        by_route({"KP BB": scalar("component.GTIN")}).alias("component_upc"),
         by_route(
             {
-                "KP": scalar(part["BuyerPartNumber"]),
-                "AK AS": scalar(part["GTIN"]),
-                "MS": scalar(part["ProductId"]),
+                "KP": scalar("component.BuyerPartNumber"),
+                "AK AS": scalar("component.GTIN"),
+                "MS": scalar("component.ProductId"),
             }
         ).alias("component_sku"),
         F.when(F.col("route") == "MS", decimal_text_int(part["Quantity"]))
