@@ -44,28 +44,37 @@ def entries(maps: Column) -> Column:
     return _each_segment(maps, build)
 
 
-def pairs(maps: Column) -> Column:
-    """Stores with the quantity under the next key of the same segment.
+def _partner(key: Column) -> Column:
+    return F.concat(F.lit("SDQ"), F.lpad((_index(key) + 1).cast("string"), 2, "0"))
 
-    A store whose next key is missing is left out; a quantity that is not a
-    whole number stays as NULL.
-    """
 
+def _store_pairs(maps: Column, wanted) -> Column:
     def build(m: Column, i: Column) -> Column:
-        def partner(k: Column) -> Column:
-            return F.concat(F.lit("SDQ"), F.lpad((_index(k) + 1).cast("string"), 2, "0"))
-
-        stores = F.filter(
-            F.map_keys(m),
-            lambda k: F.when(k.rlike(STORE_KEY), F.map_contains_key(m, partner(k))),
-        )
         return F.transform(
-            stores,
+            F.filter(F.map_keys(m), lambda k: wanted(m, k)),
             lambda k: F.struct(
                 i.alias("segment"),
                 F.try_element_at(m, k).alias("store_number"),
-                safe_int(F.try_element_at(m, partner(k))).alias("qty"),
+                safe_int(F.try_element_at(m, _partner(k))).alias("qty"),
             ),
         )
 
     return _each_segment(maps, build)
+
+
+def pairs(maps: Column) -> Column:
+    """Stores with the quantity under the next key of the same segment.
+
+    A store whose next key is missing is left out; a quantity that is not a
+    whole number stays as NULL.
+    """
+    return _store_pairs(
+        maps, lambda m, k: F.when(k.rlike(STORE_KEY), F.map_contains_key(m, _partner(k)))
+    )
+
+
+def positive_pairs(maps: Column) -> Column:
+    """The pairs with a quantity above zero; a missing one drops by itself."""
+    return F.filter(
+        _store_pairs(maps, lambda m, k: k.rlike(STORE_KEY)), lambda pair: pair["qty"] > 0
+    )

@@ -33,18 +33,17 @@ def not_blank(text: Column) -> Column:
 
 def safe_int(text: Column) -> Column:
     """Whole-number text to int; blank, decimal or other text gives NULL."""
-    return not_blank(text).try_cast("int")
+    return text.try_cast("int")
 
 
 def safe_decimal(text: Column) -> Column:
     """Number text to decimal(18,2), rounded half up; blank or bad gives NULL."""
-    return not_blank(text).try_cast("decimal(18,2)")
+    return text.try_cast("decimal(18,2)")
 
 
 def decimal_text_int(text: Column) -> Column:
     """Quantities sent as decimal text: "238.0" is 238, fractions are cut off."""
-    number = not_blank(text).try_cast("double")
-    return number.try_cast("int")
+    return text.try_cast("double").try_cast("int")
 
 
 def compact_date(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.sdq import entries, pairs, segments
+from orderloom.functions.sdq import entries, pairs, positive_pairs, segments
 from orderloom.functions.texts import safe_int
 from orderloom.operators.attributes import ATTRIBUTES
 from orderloom.operators.orders import HEADER_COLUMNS
@@ -74,13 +74,12 @@ def line_stores(attributed: DataFrame) -> DataFrame:
     without allocations stay with NULLs where the route keeps them; the rest
     pair inside their segment and keep positive quantities.
     """
-    kept = F.filter(pairs(segments(F.col("sdq_text"))), lambda p: p["qty"] > 0)
     unallocated = F.col("route").isin(KEEP_UNALLOCATED_ROUTES) & F.col("sdq_text").isNull()
     stores = (
         F.when(~F.col("has_line"), F.lit(None).cast(ALLOCATION))
         .when(F.col("route") == "MS", header_store())
         .when(unallocated, _one(F.lit(None).cast("string"), F.lit(None).cast("int")))
-        .otherwise(kept)
+        .otherwise(positive_pairs(segments(F.col("sdq_text"))))
     )
     return attributed.withColumn("stores", stores)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators.allocations import allocations, line_stores
-from orderloom.operators.attributes import ATTRIBUTES
+from orderloom.operators.attributes import ATTRIBUTES, is_pack
 from orderloom.operators.catalogue import bounded
 from orderloom.operators.ledger import DOWNSTREAM, pick_pending
 from orderloom.operators.orders import HEADER_COLUMNS, headers, inbound_scan
@@ -27,14 +27,10 @@ STAGED = [
     "line_pos",
     "has_line",
     *[c for c in ATTRIBUTES if c != "line_qty"],
-    "vendor_item_number",
-    "gtin",
-    "product_id",
-    "buyer_part_number",
     "bom_text",
-    "bom",
     "stores",
 ]
+PACK_FIELDS = [c for c in prepack.PACK_COLUMNS if c != "bom"]
 HEADERS = {
     "details": reports.details_header,
     "style_color": reports.style_color_header,
@@ -70,7 +66,9 @@ def _details_phase(
 ) -> bool:
     """Parse, write details and order rows; False when nothing was usable."""
     looked_up = None if catalogue is None else bounded(catalogue)
-    staged = line_stores(attributed_lines(due, looked_up)).select(*STAGED)
+    staged = line_stores(attributed_lines(due, looked_up)).select(
+        *STAGED, *[F.when(is_pack(), F.col(c)).alias(c) for c in PACK_FIELDS]
+    )
     store.write_report("lines", staged, run)
     lines = store.read_runs("lines", [run])
     if lines.isEmpty():

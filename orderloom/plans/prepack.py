@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.bom import first_color, pack_style, pack_units, signature
+from orderloom.functions.bom import components, first_color, pack_style, pack_units, signature
 from orderloom.functions.sizes import cut_suffix, plain_text, second_entry
 from orderloom.functions.texts import decimal_text_int, safe_int, scalar
 from orderloom.operators.attributes import is_pack
@@ -17,8 +17,9 @@ PACK_COLUMNS = ["vendor_item_number", "gtin", "product_id", "buyer_part_number",
 
 
 def pack_lines(lines: DataFrame) -> DataFrame:
-    """Pack lines of the routes that report pre-packs."""
-    return lines.filter(F.col("route").isin(ROUTES) & is_pack())
+    """Pack lines of the routes that report pre-packs, with their components."""
+    packs = lines.filter(F.col("route").isin(ROUTES) & is_pack())
+    return packs.withColumn("bom", components(F.col("bom_text")))
 
 
 def bom_gate(lines: DataFrame) -> DataFrame:

@@ -257,10 +257,6 @@ def decimal_text_qty(spark, sf_dir):
 # Bills of material
 
 
-def _with_bom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).withColumn("bom", bom.components(F.col("bom_text")))
-
-
 def _per_line(column: str, sql: str, build: Callable[[], Column], name: str) -> None:
     """A query that shows one derived column of every line."""
 
@@ -328,7 +324,7 @@ def pack_only_inner(spark, sf_dir):
     )
 )
 def bom_gate(spark, sf_dir):
-    return prepack.prepack_header(prepack.bom_gate(_with_bom(spark, sf_dir)))
+    return prepack.prepack_header(prepack.bom_gate(_lines(spark, sf_dir)))
 
 
 _SIGNATURE = (
@@ -346,13 +342,13 @@ _SIGNATURE = (
     )
 )
 def bom_signature(spark, sf_dir):
-    packs = prepack.bom_signature(prepack.pack_lines(_with_bom(spark, sf_dir)))
+    packs = prepack.bom_signature(prepack.pack_lines(_lines(spark, sf_dir)))
     return packs.select("source_id", "line_no", "bom_signature")
 
 
 @query(_sql(f"SELECT source_id, line_no, {_SIGNATURE} AS bom_signature FROM pack"))
 def bom_dedupe(spark, sf_dir):
-    unique = prepack.bom_dedupe(prepack.pack_lines(_with_bom(spark, sf_dir)))
+    unique = prepack.bom_dedupe(prepack.pack_lines(_lines(spark, sf_dir)))
     return unique.select(
         "source_id", (F.col("line_pos") + 1).alias("line_no"), "bom_signature"
     )
@@ -365,7 +361,7 @@ def bom_dedupe(spark, sf_dir):
     )
 )
 def bom_components(spark, sf_dir):
-    unique = prepack.bom_dedupe(prepack.pack_lines(_with_bom(spark, sf_dir)))
+    unique = prepack.bom_dedupe(prepack.pack_lines(_lines(spark, sf_dir)))
     return prepack.bom_components(unique).select(
         "source_id",
         (F.col("line_pos") + 1).alias("line_no"),
@@ -590,7 +586,7 @@ def order_amount_totals(spark, sf_dir):
 
 @query(oracle.prepack())
 def prepack_summary(spark, sf_dir):
-    return prepack.prepack_summary(_with_bom(spark, sf_dir))
+    return prepack.prepack_summary(_lines(spark, sf_dir))
 
 
 @query(
@@ -796,10 +792,7 @@ def _register_routes() -> None:
     for company, routes in PREPACK_ROUTES.items():
 
         def run(spark, sf_dir, routes=routes):
-            lines = _lines(spark, sf_dir, routes)
-            return prepack.prepack_summary(
-                lines.withColumn("bom", bom.components(F.col("bom_text")))
-            )
+            return prepack.prepack_summary(_lines(spark, sf_dir, routes))
 
         _register(f"{company}_prepack_summary", run, oracle.prepack(routes))
 
