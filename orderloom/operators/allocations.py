@@ -99,50 +99,54 @@ def allocations(stored: DataFrame) -> DataFrame:
 
 
 def _strict_slots(attributed: DataFrame, report: str) -> tuple[DataFrame, list[str]]:
-    """Used keys of every line with the pairing key of the report's own join."""
+    """Used keys of every line with the pairing key of the report's own join.
+
+    Lines that need no pairing come along as one ``direct`` row each, so the
+    documents are not read a second time for them.
+    """
     keys = STRICT_KEYS[report]
 
     def uses(part: str) -> Column:
         return F.col("route").isin([r for r, parts in keys.items() if part in parts])
 
+    direct = F.col("route") == "MS"
+    if report == "details":
+        direct = direct | (
+            F.col("route").isin(KEEP_UNALLOCATED_ROUTES) & F.col("sdq_text").isNull()
+        )
+    nothing = F.expr("array(struct(cast(null as int) segment, cast(null as int) index, '' value))")
     legible = ~F.col("route").isin(OBJECT_ONLY_ROUTES) | F.col("sdq_text").startswith("{")
-    paired = F.col("has_line") & F.col("route").isin(list(keys))
-    slots = attributed.filter(paired).select(
+    used = entries(segments(F.when(legible, F.col("sdq_text"))))
+    slots = attributed.filter("has_line").select(
         *LINE_COLUMNS,
+        "line_qty",
+        direct.alias("direct"),
         F.when(uses("line"), F.col("line_item_id")).otherwise("").alias("key_line"),
         F.when(uses("style"), F.col("style")).otherwise("").alias("key_style"),
         F.when(uses("upc"), F.col("upc")).otherwise("").alias("key_upc"),
-        F.inline(entries(segments(F.when(legible, F.col("sdq_text"))))),
+        F.inline(F.when(direct, nothing).otherwise(used)),
     )
     is_store = F.col("index") % 2 == 1
-    matchable = F.col("key_line").isNotNull() & F.col("key_style").isNotNull()
+    on = ["source_id", "key_line", "key_style", "key_upc", "key_segment", "key_index"]
+    matchable = F.lit(True)
+    for name in on[1:4]:
+        matchable = matchable & F.col(name).isNotNull()
     return (
-        slots.filter(matchable & F.col("key_upc").isNotNull()).select(
+        slots.filter(F.col("direct") | matchable).select(
             *LINE_COLUMNS,
-            "key_line",
-            "key_style",
-            "key_upc",
+            *on[1:4],
             F.when(uses("segment"), F.col("segment")).otherwise(0).alias("key_segment"),
             F.when(is_store, F.col("index") + 1).otherwise(F.col("index")).alias("key_index"),
-            is_store.alias("is_store"),
-            F.when(is_store, F.col("value")).alias("store_number"),
-            F.when(~is_store, safe_int(F.col("value"))).alias("slot_qty"),
+            "direct",
+            (F.col("direct") | is_store).alias("is_store"),
+            F.when(F.col("route") == "MS", F.col("division_store"))
+            .when(is_store, F.col("value"))
+            .alias("store_number"),
+            F.when(F.col("direct"), F.col("line_qty"))
+            .when(~is_store, safe_int(F.col("value")))
+            .alias("slot_qty"),
         ),
-        ["source_id", "key_line", "key_style", "key_upc", "key_segment", "key_index"],
-    )
-
-
-def _strict_unpaired(attributed: DataFrame) -> DataFrame:
-    """Rows that enter the strict details without pairing."""
-    direct = (F.col("route") == "MS") | (
-        F.col("route").isin(KEEP_UNALLOCATED_ROUTES) & F.col("sdq_text").isNull()
-    )
-    return attributed.filter(F.col("has_line") & direct).select(
-        *LINE_COLUMNS,
-        F.lit(True).alias("allocated"),
-        F.when(F.col("route") == "MS", F.col("division_store")).alias("store_number"),
-        F.col("line_qty").alias("qty"),
-        F.lit(1).cast("long").alias("copies"),
+        on,
     )
 
 
@@ -156,16 +160,24 @@ def strict_details(attributed: DataFrame) -> DataFrame:
     """
     slots, on = _strict_slots(attributed, "details")
     quantities = (
-        slots.filter("slot_qty > 0")
-        .groupBy(*on, F.col("slot_qty").alias("qty"))
-        .agg(F.count("*").alias("copies"))
+        slots.filter("not is_store and slot_qty > 0")
+        .groupBy(*on, F.col("slot_qty").alias("matched_qty"))
+        .agg(F.count("*").alias("matches"))
     )
-    paired = (
+    return (
         slots.filter("is_store")
-        .join(quantities, on)
-        .select(*LINE_COLUMNS, F.lit(True).alias("allocated"), "store_number", "qty", "copies")
+        .join(quantities, on, "left")
+        .filter("direct or matches is not null")
+        .select(
+            *LINE_COLUMNS,
+            F.lit(True).alias("allocated"),
+            "store_number",
+            F.when(F.col("direct"), F.col("slot_qty"))
+            .otherwise(F.col("matched_qty"))
+            .alias("qty"),
+            F.coalesce("matches", F.lit(1)).alias("copies"),
+        )
     )
-    return paired.unionByName(_strict_unpaired(attributed))
 
 
 def strict_sums(attributed: DataFrame, report: str) -> DataFrame:
@@ -176,11 +188,11 @@ def strict_sums(attributed: DataFrame, report: str) -> DataFrame:
     pair. Feeds the summing reports; same columns as ``allocations``.
     """
     slots, on = _strict_slots(attributed, report)
-    shared = F.sum(F.when(F.col("slot_qty") > 0, F.col("slot_qty"))).over(Window.partitionBy(*on))
-    paired = (
-        slots.withColumn("qty", shared)
-        .filter("is_store and qty is not null")
+    matching = F.when(~F.col("is_store") & (F.col("slot_qty") > 0), F.col("slot_qty"))
+    shared = F.sum(matching).over(Window.partitionBy(*on))
+    qty = F.when(F.col("direct"), F.col("slot_qty")).otherwise(shared)
+    return (
+        slots.withColumn("qty", qty)
+        .filter("is_store and (direct or qty is not null)")
         .select(*LINE_COLUMNS, F.lit(True).alias("allocated"), "store_number", "qty")
     )
-    unpaired = _strict_unpaired(attributed.filter("route = 'MS'")).drop("copies")
-    return paired.unionByName(unpaired.withColumn("qty", F.col("qty").cast("long")))

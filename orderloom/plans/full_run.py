@@ -75,8 +75,9 @@ def _details_phase(
         return False
     rows = allocations(lines)
     store.write_report("details", reports.details_report(rows), run)
-    versions = _arrival_versions(store, headers(lines))
-    store.write_report("orders", inherit_version(reports.order_totals(rows), versions), run)
+    numbered = inherit_version(headers(lines), _arrival_versions(store, headers(lines)))
+    totals = reports.order_totals(rows, ["source_id"])
+    store.write_report("orders", numbered.join(totals, "source_id"), run)
     ids = store.read_runs("orders", [run]).select("source_id")
     store.commit("details", ids, run)
     return True

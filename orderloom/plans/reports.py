@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,11 +45,15 @@ def details_report(allocations: DataFrame) -> DataFrame:
     )
 
 
-def order_totals(allocations: DataFrame) -> DataFrame:
+def order_totals(
+    allocations: DataFrame, keys: Sequence[str] = tuple(HEADER_COLUMNS)
+) -> DataFrame:
     """One row per order with every header total, from a single aggregation.
 
     Items are distinct UPCs, or SKUs for Maurices, whose lines have no UPC.
-    Orders without lines or allocations keep their row with zeros.
+    Orders without lines or allocations keep their row with zeros. Counting
+    distinct items shuffles one row per order and item with the keys, so give
+    only ``source_id`` where the header columns are at hand elsewhere.
     """
     got = F.col("allocated")
     item = F.when(F.col("route") == "MS", F.col("sku")).otherwise(F.col("upc"))
@@ -55,7 +61,7 @@ def order_totals(allocations: DataFrame) -> DataFrame:
     copies = F.col("copies") if "copies" in allocations.columns else F.lit(1)
     amount = F.col("unit_price") * qty
     store = F.when(got, F.col("store_number"))
-    return allocations.groupBy(*HEADER_COLUMNS).agg(
+    return allocations.groupBy(*keys).agg(
         F.count_distinct(F.when(got, item)).cast("int").alias("total_items"),
         F.coalesce(F.sum(qty * copies), F.lit(0)).cast("long").alias("total_qty"),
         F.coalesce(F.sum(amount), F.lit(0)).cast(AMOUNT).alias("total_amount"),
