@@ -15,7 +15,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "8")
+    session = local_session("tests", "4", **{"spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()
 
