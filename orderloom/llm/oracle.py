@@ -90,3 +90,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
         OR 100 * len(regexp_extract_all(text, '!')) > 10 * n_words) AS kept
 FROM based
 """
+
+NGRAM_JOIN = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_WORD}
+    ) AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, md5_number(array_to_string(list_slice(w, s, s + 4), ' ')) AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+    WHERE 100 * k >= 80 * (s.n + t.n - k)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, min(r.y) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.x = d.doc_id
+GROUP BY d.doc_id, s.n
+"""

@@ -10,6 +10,7 @@ from orderloom.llm import oracle
 from orderloom.llm.chat_format import chat_format
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.language_id import predict_languages
+from orderloom.llm.ngram_join import ngram_components
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.quality_classifier import classify_quality
 from orderloom.llm.quality_rules import quality_rules
@@ -75,3 +76,8 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(_table(spark, sf_dir, "documents"))
+
+
+@query(oracle.NGRAM_JOIN)
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(_table(spark, sf_dir, "documents"))
