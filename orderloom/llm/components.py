@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +47,64 @@ def components(scratch: Scratch, name: str, links: DataFrame) -> DataFrame:
         seen = mark
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(roots)
+
+
+def link_rounds(
+    scratch: Scratch,
+    postings: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    percent: int,
+) -> DataFrame | None:
+    """Labels (node, label) of items linked through postings (token, c, n).
+
+    In each round every token met by more than one component names pivots;
+    the pairs of a pivot and an item of another component, whose sizes n
+    allow ``percent``, go to ``verify``, which returns the links (a, b).
+    Pivots then leave their postings, as they have met everyone there. The
+    pivots of a token grow eightfold a round, so every pair that shares a
+    token ends in one component or has been verified, after few rounds and
+    without the pairs inside a component. None if nothing shares a token.
+    """
+    labels, step = None, 0
+    while not postings.isEmpty():
+        known = (
+            postings.withColumn("label", F.col("c"))
+            if labels is None
+            else postings.join(labels, postings["c"] == labels["node"], "left").select(
+                "token", "c", "n", F.coalesce("label", "c").alias("label")
+            )
+        )
+        mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        live = scratch.store(
+            f"live-{step}", known.join(mixed.filter("low <> high").select("token"), "token")
+        )
+        group = F.pmod(F.xxhash64("c", F.lit(step)), F.lit(8**step))
+        pivots = scratch.store(
+            f"pivots-{step}",
+            live.groupBy("token", group.alias("g"))
+            .agg(F.min(F.struct("c", "n", "label")).alias("p"))
+            .select(
+                "token",
+                F.col("p.c").alias("pivot"),
+                F.col("p.n").alias("m"),
+                F.col("p.label").alias("pivot_label"),
+            ),
+        )
+        pairs = scratch.store(
+            f"pairs-{step}",
+            live.join(pivots, "token")
+            .filter("label <> pivot_label")
+            .filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+            .select("pivot", "c")
+            .distinct(),
+        )
+        links = scratch.store(f"links-{step}", verify(pairs))
+        if labels is not None:
+            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = scratch.store(f"labels-{step}", components(scratch, f"round-{step}", links))
+        met = pivots.select("token", F.col("pivot").alias("c"))
+        postings = scratch.store(
+            f"postings-{step}", live.select("token", "c", "n").join(met, ["token", "c"], "left_anti")
+        )
+        step += 1
+    return labels

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.components import components
+from orderloom.llm.components import link_rounds
 from orderloom.llm.scratch import Scratch
 from orderloom.llm.words import Words, chunks, mix, rolling, text_marks
 
@@ -274,41 +274,7 @@ def ngram_components(docs: DataFrame) -> DataFrame:
         .select("c", "text")
         .mapInArrow(_whole_sets, "c long, tokens binary"),
     )
-    labels, step = None, 0
-    while not postings.isEmpty():
-        known = (
-            postings.withColumn("label", F.col("c"))
-            if labels is None
-            else postings.join(labels, postings["c"] == labels["node"], "left").select(
-                "token", "c", "n", F.coalesce("label", "c").alias("label")
-            )
-        )
-        mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        live = scratch.store(
-            f"live-{step}", known.join(mixed.filter("low <> high").select("token"), "token")
-        )
-        group = F.pmod(F.xxhash64("c", F.lit(step)), F.lit(8**step))
-        pivots = live.groupBy("token", group.alias("g")).agg(
-            F.min(F.struct("c", "n", "label")).alias("p")
-        ).select("token", F.col("p.c").alias("pivot"), F.col("p.n").alias("m"), F.col("p.label").alias("pivot_label"))
-        pivots = scratch.store(f"pivots-{step}", pivots)
-        pairs = scratch.store(
-            f"pairs-{step}",
-            live.join(pivots, "token")
-            .filter("label <> pivot_label")
-            .filter(100 * F.least("n", "m") >= PERCENT * F.greatest("n", "m"))
-            .select("pivot", "c")
-            .distinct(),
-        )
-        links = scratch.store(f"links-{step}", _links(pairs, whole))
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = scratch.store(f"labels-{step}", components(scratch, f"round-{step}", links))
-        met = pivots.select("token", F.col("pivot").alias("c"))
-        postings = scratch.store(
-            f"postings-{step}", live.select("token", "c", "n").join(met, ["token", "c"], "left_anti")
-        )
-        step += 1
+    labels = link_rounds(scratch, postings, lambda pairs: _links(pairs, whole), PERCENT)
     own = first.select("c", "doc")
     if labels is not None:
         labelled = own.join(labels, own["c"] == labels["node"], "left").select(

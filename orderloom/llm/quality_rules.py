@@ -28,18 +28,25 @@ class Rule:
     rejects: Column
 
 
-def base_measures(docs: DataFrame) -> DataFrame:
-    """The contract's measures with doc_id and text; a null text has no words."""
+def base_measures(docs: DataFrame, carry: str | None = None) -> DataFrame:
+    """The contract's measures with doc_id and text; a null text has no words.
+
+    ``carry`` names a struct column that holds the whole row of ``docs``.
+    """
+    row = [] if carry is None else [F.struct(*[docs[c] for c in docs.columns]).alias(carry)]
+    names = [] if carry is None else [carry]
     text = F.coalesce(F.col("text"), F.lit(""))
     blank = reduce(lambda x, c: F.replace(x, F.lit(c), F.lit(" ")), WHITE_SPACE, text)
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     first = docs.select(
+        *row,
         "doc_id",
         text.alias("text"),
         F.array_remove(F.split(blank, " "), "").alias("words"),
         lines.alias("lines"),
     )
     counted = first.select(
+        *names,
         "doc_id",
         "text",
         "words",
@@ -62,6 +69,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
         ),
     )
     measures = repeated.select(
+        *names,
         "doc_id",
         "text",
         F.struct(
@@ -71,7 +79,7 @@ def base_measures(docs: DataFrame) -> DataFrame:
     )
     # Through a generator: a filter on measures would else be pushed below the
     # projections, which would compute them again inside each other.
-    return measures.select("doc_id", "text", F.inline(F.array("measures")))
+    return measures.select(*names, "doc_id", "text", F.inline(F.array("measures")))
 
 
 def _window_places(marks: Column, n_words: Column) -> Column:
@@ -232,7 +240,10 @@ def cascade(rules: Sequence[Rule]) -> Column:
 
 
 def quality_rules(
-    docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS
+    docs: DataFrame,
+    rules: Sequence[Rule] | None = None,
+    sample_rows: int = SAMPLE_ROWS,
+    carry: str | None = None,
 ) -> DataFrame:
     """Measure every document and judge it by a cascade of rules.
 
@@ -241,12 +252,14 @@ def quality_rules(
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, one row per
     row of ``docs``. A null or empty text has no words and fails the base.
     Repeated rows are judged alike; a null doc_id is returned as it is; other
-    columns are not read. An empty table gives an empty result.
+    columns are not read, unless ``carry`` names a struct column for the whole
+    row. An empty table gives an empty result.
     """
-    measured = base_measures(docs)
+    measured = base_measures(docs, carry)
     ordered = order_rules(docs, rules if rules is not None else default_rules(), sample_rows)
     rejected = cascade(ordered)
     return measured.select(
+        *([] if carry is None else [carry]),
         "doc_id",
         "n_words",
         "word_chars",

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.llm import oracle
 from orderloom.llm.chat_format import chat_format
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.language_id import predict_languages
+from orderloom.llm.line_dedup import line_dedup
+from orderloom.llm.mixing import mix_sources
 from orderloom.llm.ngram_join import ngram_components
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.quality_classifier import classify_quality
@@ -81,3 +84,21 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle.NGRAM_JOIN)
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages are the domains; smaller ones are raised, none shrinks."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed = mix_sources(docs, language_labels(spark, sf_dir))
+    return mixed.select("doc_id", "mix.tokens", "mix.p", "mix.rate")
+
+
+def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table of mixing: documents with their language as domain."""
+    return _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("domain"))
