@@ -33,12 +33,18 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 def _names(scratch: Scratch, name: str, keys: DataFrame) -> DataFrame:
     """Distinct keys in sorted order with the integer each is named by.
 
-    A range-sorted numbering: keys of one task are sorted, tasks hold rising
-    ranges, so the number is the key's place. The table is written before it
-    is read, so every reader sees the same numbers.
+    Tasks hold rising ranges and sort their keys, so the number is the key's
+    place. Ranges are cut by a block's first bytes (and a hash among equal
+    ones), so that the sample from which they are chosen holds no whole
+    blocks. The table is written before it is read, so every reader sees the
+    same numbers.
     """
     columns = keys.columns
-    ordered = keys.distinct().repartitionByRange(*columns).sortWithinPartitions(*columns)
+    distinct = keys.distinct()
+    ranges = (
+        [F.substring("block", 1, 16), F.xxhash64("block")] if columns == ["block"] else columns
+    )
+    ordered = distinct.repartitionByRange(*ranges).sortWithinPartitions(*columns)
     return scratch.store(name, ordered.withColumn("name", F.monotonically_increasing_id()))
 
 

@@ -151,7 +151,7 @@ def text_marks(texts: pa.Array) -> np.ndarray:
     from zlib import crc32
 
     return np.fromiter(
-        (0 if t is None else crc32(t.as_buffer()) & 0x7FFFFFFF for t in texts.cast(pa.large_string())),
+        (crc32(t.as_buffer() or b"") & 0x7FFFFFFF for t in texts),
         dtype=np.int64,
         count=len(texts),
     )
