@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.texts import is_container, safe_int
 
-# Two-digit keys from SDQ03 on; odd ones are stores.
-SDQ_KEY = "^SDQ(0[3-9]|[1-9][0-9])$"
-STORE_KEY = "^SDQ(0[3579]|[1-9][13579])$"
+# Keys are SDQ and a number; from 3 on, odd ones are stores.
+SDQ_KEY = "^SDQ[0-9]+$"
+TWO_DIGITS = "^SDQ(0[3-9]|[1-9][0-9])$"
+FIRST_INDEX = 3
 
 
 def segments(text: Column) -> Column:
@@ -21,21 +22,35 @@ def segments(text: Column) -> Column:
 
 
 def _index(key: Column) -> Column:
-    return F.substring(key, 4, 2).cast("int")
+    """The number of a key that is known to be one."""
+    return F.substring(key, 4, 9).try_cast("int")
 
 
+def _used(key: Column) -> Column:
+    return key.rlike(SDQ_KEY) & (_index(key) >= FIRST_INDEX)
+
+
+def _is_store(key: Column) -> Column:
+    return _used(key) & (_index(key) % 2 == 1)
+
 
 def _each_segment(maps: Column, build) -> Column:
     built = F.transform(maps, lambda m, i: build(m, i))
     return F.flatten(F.filter(built, lambda part: part.isNotNull()))
 
 
-def entries(maps: Column) -> Column:
-    """Every used key as (segment, index, value)."""
+def entries(maps: Column, two_digits: bool = False) -> Column:
+    """Every used key as (segment, index, value).
+
+    ``two_digits`` reads two digits alone, as the original pairing does.
+    """
+
+    def used(k: Column) -> Column:
+        return k.rlike(TWO_DIGITS) if two_digits else _used(k)
 
     def build(m: Column, i: Column) -> Column:
         return F.transform(
-            F.filter(F.map_keys(m), lambda k: k.rlike(SDQ_KEY)),
+            F.filter(F.map_keys(m), used),
             lambda k: F.struct(
                 i.alias("segment"), _index(k).alias("index"), F.try_element_at(m, k).alias("value")
             ),
@@ -44,18 +59,30 @@ def entries(maps: Column) -> Column:
     return _each_segment(maps, build)
 
 
-def _partner(key: Column) -> Column:
-    return F.concat(F.lit("SDQ"), F.lpad((_index(key) + 1).cast("string"), 2, "0"))
+def _partner(m: Column, key: Column) -> Column:
+    """The key with the next number: as usually written, or else found by its number."""
+    following = _index(key) + 1
+    digits = F.when(following < 10, F.concat(F.lit("0"), following.cast("string"))).otherwise(
+        following.cast("string")
+    )
+    usual = F.concat(F.lit("SDQ"), digits)
+    found = F.get(F.filter(F.map_keys(m), lambda k: k.rlike(SDQ_KEY) & (_index(k) == following)), F.lit(0))
+    return F.when(F.map_contains_key(m, usual), usual).otherwise(found)
 
 
 def _store_pairs(maps: Column, wanted) -> Column:
     def build(m: Column, i: Column) -> Column:
-        return F.transform(
+        found = F.transform(
             F.filter(F.map_keys(m), lambda k: wanted(m, k)),
             lambda k: F.struct(
-                i.alias("segment"),
-                F.try_element_at(m, k).alias("store_number"),
-                safe_int(F.try_element_at(m, _partner(k))).alias("qty"),
+                F.try_element_at(m, k).alias("store"),
+                F.try_element_at(m, _partner(m, k)).alias("qty"),
+            ),
+        )
+        return F.transform(
+            found,
+            lambda x: F.struct(
+                i.alias("segment"), x["store"].alias("store_number"), safe_int(x["qty"]).alias("qty")
             ),
         )
 
@@ -69,12 +96,12 @@ def pairs(maps: Column) -> Column:
     whole number stays as NULL.
     """
     return _store_pairs(
-        maps, lambda m, k: F.when(k.rlike(STORE_KEY), F.map_contains_key(m, _partner(k)))
+        maps, lambda m, k: F.when(_is_store(k), _partner(m, k).isNotNull())
     )
 
 
 def positive_pairs(maps: Column) -> Column:
     """The pairs with a quantity above zero; a missing one drops by itself."""
     return F.filter(
-        _store_pairs(maps, lambda m, k: k.rlike(STORE_KEY)), lambda pair: pair["qty"] > 0
+        _store_pairs(maps, lambda m, k: _is_store(k)), lambda pair: pair["qty"] > 0
     )

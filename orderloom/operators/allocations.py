@@ -116,7 +116,7 @@ def _strict_slots(attributed: DataFrame, report: str) -> tuple[DataFrame, list[s
         )
     nothing = F.expr("array(struct(cast(null as int) segment, cast(null as int) index, '' value))")
     legible = ~F.col("route").isin(OBJECT_ONLY_ROUTES) | F.col("sdq_text").startswith("{")
-    used = entries(segments(F.when(legible, F.col("sdq_text"))))
+    used = entries(segments(F.when(legible, F.col("sdq_text"))), two_digits=True)
     slots = attributed.filter("has_line").select(
         *LINE_COLUMNS,
         "line_qty",

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.attributes import is_pack
 
-# A catalogue of up to this many rows is broadcast (about 100 bytes a row);
-# a larger one is joined by shuffle.
-BROADCAST_ROWS = 2_000_000
-
 
 def company_id_lookup(companies: DataFrame) -> DataFrame:
     """One id per company name, the smallest when there are several."""
@@ -41,13 +37,6 @@ def catalogue_lookup(companies: DataFrame, product: DataFrame, retail: DataFrame
     )
 
 
-def bounded(catalogue: DataFrame) -> DataFrame:
-    """Mark the catalogue for broadcast when a count shows that it fits."""
-    if catalogue.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(catalogue)
-    return catalogue
-
-
 def catalogue_override(attributed: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Catalogue color and size first, the document's as fallback; packs keep theirs.
 

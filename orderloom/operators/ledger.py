@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 REPORTS = ["details", "style_color", "store", "style_color_size", "prepack", "daily"]
 DOWNSTREAM = REPORTS[1:]
 
-# The ids of one pickup are broadcast up to this many (8 bytes each plus
-# overhead, far below the 8 GB broadcast limit); beyond it the join shuffles.
-BROADCAST_IDS = 2_000_000
-
 
 def status_ledger(source_ids: DataFrame, report: str, run: str) -> DataFrame:
     """Success entries for the given source ids."""
@@ -48,15 +44,12 @@ def pick_pending(
     """Full staging rows still to do, None when there are none.
 
     The ledger is compared on ids alone, which reads one column of the staging
-    table. A pickup of bounded size comes back to the payload by broadcast; a
-    larger one, such as a first load against a partial ledger, by a plain join.
+    table. How the ids come back to the payload is left to the planner, which
+    measures their size.
     """
     if ledger is None:
         return inbound
     due = pending(inbound.select("id"), ledger, report)
-    counted = due.limit(BROADCAST_IDS + 1).count()
-    if counted == 0:
+    if due.isEmpty():
         return None
-    if counted <= BROADCAST_IDS:
-        due = F.broadcast(due)
     return inbound.join(due, "id", "left_semi")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.allocations import allocations, line_stores
 from orderloom.operators.attributes import ATTRIBUTES, is_pack
-from orderloom.operators.catalogue import bounded
 from orderloom.operators.ledger import DOWNSTREAM, pick_pending
 from orderloom.operators.orders import HEADER_COLUMNS, headers, inbound_scan
 from orderloom.operators.versions import PO_KEY, arrival_version, inherit_version
@@ -30,6 +29,8 @@ STAGED = [
     "bom_text",
     "stores",
 ]
+# The ledger entry of the version corrections.
+VERSIONS = "versions"
 PACK_FIELDS = [c for c in prepack.PACK_COLUMNS if c != "bom"]
 HEADERS = {
     "details": reports.details_header,
@@ -49,30 +50,36 @@ def run_all_reports(
     catalogue: DataFrame | None = None,
     run: str | None = None,
 ) -> None:
-    """Details, then versions, then the other reports of every run that lacks them."""
+    """Details, then versions, then the other reports of every run that lacks them.
+
+    Versions are in the ledger like a report: a run that stopped after its
+    details gets its corrections on the next call.
+    """
     run = run or new_run()
     due = pick_pending(inbound_scan(inbound), store.ledger(), "details")
     if due is not None and run not in store.runs("details"):
-        if _details_phase(store, due, catalogue, run):
-            _versions_phase(store, run)
-    for report in DOWNSTREAM:
+        _details_phase(store, due, catalogue, run)
+    details = store.runs("details")
+    for report in [VERSIONS, *DOWNSTREAM]:
         done = set(store.runs(report))
-        for waiting in [r for r in store.runs("details") if r not in done]:
-            _downstream(store, report, waiting)
+        for waiting in [r for r in details if r not in done]:
+            if report == VERSIONS:
+                _versions_phase(store, waiting)
+            else:
+                _downstream(store, report, waiting)
 
 
 def _details_phase(
     store: ReportStore, due: DataFrame, catalogue: DataFrame | None, run: str
-) -> bool:
-    """Parse, write details and order rows; False when nothing was usable."""
-    looked_up = None if catalogue is None else bounded(catalogue)
-    staged = line_stores(attributed_lines(due, looked_up)).select(
+) -> None:
+    """Parse, write details and order rows; nothing is committed when no order was usable."""
+    staged = line_stores(attributed_lines(due, catalogue)).select(
         *STAGED, *[F.when(is_pack(), F.col(c)).alias(c) for c in PACK_FIELDS]
     )
     store.write_report("lines", staged, run)
     lines = store.read_runs("lines", [run])
     if lines.isEmpty():
-        return False
+        return
     rows = allocations(lines)
     store.write_report("details", reports.details_report(rows), run)
     numbered = inherit_version(headers(lines), _arrival_versions(store, headers(lines)))
@@ -80,7 +87,6 @@ def _details_phase(
     store.write_report("orders", numbered.join(totals, "source_id"), run)
     ids = store.read_runs("orders", [run]).select("source_id")
     store.commit("details", ids, run)
-    return True
 
 
 def _touched(rows: DataFrame, new: DataFrame) -> DataFrame:
@@ -109,6 +115,7 @@ def _versions_phase(store: ReportStore, run: str) -> None:
         F.current_timestamp().alias("corrected_at"),
     )
     store.write_report("corrections", corrections, run)
+    store.commit(VERSIONS, new.select("source_id"), run)
 
 
 def _downstream(store: ReportStore, report: str, run: str) -> None:
@@ -128,11 +135,11 @@ def current_orders(store: ReportStore, report: str = "details") -> DataFrame:
     orders = store.read("orders", report)
     if orders is None:
         raise ValueError(f"no committed run of {report}")
-    if not store.has("corrections"):
+    corrections = store.read("corrections", VERSIONS)
+    if corrections is None:
         return orders.drop("run")
     newest = (
-        store.spark.read.parquet(f"{store.root}/corrections")
-        .groupBy("source_id")
+        corrections.groupBy("source_id")
         .agg(F.max_by("version", "corrected_at").alias("corrected"))
     )
     return (

@@ -61,10 +61,24 @@ class ReportStore:
         entries.write.mode("overwrite").parquet(f"{self.root}/ledger/report={report}/run={run}")
 
     def ledger(self) -> DataFrame | None:
-        """All committed entries, or None before the first commit."""
-        if not self._exists("ledger"):
+        """All committed entries, or None before the first commit.
+
+        Only the runs that ``runs`` names: what a stopped commit left behind
+        marks nothing as done.
+        """
+        folder = self._path("ledger")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return None
+        reports = [e.getPath().getName().removeprefix("report=") for e in files.listStatus(folder)]
+        paths = [
+            f"{self.root}/ledger/report={report}/run={run}"
+            for report in reports
+            for run in self.runs(report)
+        ]
+        if not paths:
             return None
-        rows = self.spark.read.parquet(f"{self.root}/ledger")
+        rows = self.spark.read.option("basePath", f"{self.root}/ledger").parquet(*paths)
         return rows.withColumns(
             {"report": F.col("report").cast("string"), "run": F.col("run").cast("string")}
         )

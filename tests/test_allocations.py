@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import line, order, rows
+from pyspark.sql import functions as F
 
 from orderloom.operators.allocations import (
     line_stores,
@@ -34,7 +35,7 @@ def test_segments_fields_and_pairs(inbound):
         ("1", 0), ("2", 0), ("2", 1), ("5", 0),
     ]
     assert rows(sdq_fields(found).filter("line_item_id = '5'"), "index", "value") == [
-        (23, "0009"), (3, "0007"), (4, "3"),
+        (100, "4"), (23, "0009"), (3, "0007"), (4, "3"),
     ]
     assert rows(sdq_pairs(found), "line_item_id", "segment", "store_number", "qty") == [
         ("1", 0, "0045", 5),
@@ -176,3 +177,23 @@ def test_stores_survive_without_a_join(inbound):
     staged = inbound(order([line(sdq=PAIR)]))
     plan = line_stores(attributed_lines(staged))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_stores_pair_by_number_whatever_the_digits(spark, inbound):
+    from orderloom.functions.sdq import pairs, positive_pairs, segments
+
+    frame = spark.createDataFrame(
+        [
+            ('{"SDQ3":"1","SDQ4":"5"}',),
+            ('{"SDQ99":"0099","SDQ10":"7"}',),
+            ('{"SDQ101":"8","SDQ102":"2","SDQ01":"x","SDQ02":"9"}',),
+        ],
+        "text string",
+    )
+    found = frame.select(
+        [pairs(segments(F.col("text"))).alias("all"), positive_pairs(segments(F.col("text"))).alias("some")]
+    ).collect()
+    assert [[(p["store_number"], p["qty"]) for p in row["all"]] for row in found] == [
+        [("1", 5)], [], [("8", 2)]
+    ]
+    assert [[p["qty"] for p in row["some"]] for row in found] == [[5], [], [2]]

@@ -1,44 +1,16 @@
 """Registered queries against their SQL on the smallest tables."""
 
-import os
-
 import pytest
 from oracle_check import connect, difference
 
 from orderloom.registry.queries import ORACLE, QUERIES
 
-# These cover every operator on the way; ALL_QUERIES=1 runs each query by itself.
-MAIN = [
-    "route_orders",
-    "pending_store",
-    "line_attributes_by_route",
-    "bom_signature",
-    "sdq_segments",
-    "sdq_fields",
-    "catalogue_lookup",
-    "arrival_version",
-    "latest_versions",
-    "details_report",
-    "details_totals",
-    "style_color_report",
-    "store_report",
-    "order_amount_totals",
-    "prepack_summary",
-    "daily_log",
-    "strict_details_report",
-    "strict_store_report",
-    "error_monitor",
-    "belk_bk_style_color_size",
-]
-NAMES = list(QUERIES) if os.environ.get("ALL_QUERIES") else MAIN
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, sf_dir, name):
     assert difference(spark, con, name, QUERIES[name], ORACLE[name], sf_dir) is None
 
@@ -50,8 +22,9 @@ def test_every_query_has_sql():
 def test_entry(spark):
     import __spark_entry__ as contract
 
-    assert contract.queries().keys() == QUERIES.keys()
-    assert contract.oracle_sql().keys() == ORACLE.keys()
+    # The corpus operators may add to these, or be absent.
+    assert contract.queries().keys() >= QUERIES.keys()
+    assert contract.oracle_sql().keys() >= ORACLE.keys()
     assert contract.entry(spark).columns == [
         "header_id", "source_id", "customer_po", "store_number", "store_qty"
     ]
