@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,24 +17,29 @@ SHINGLE, PERCENT = 8, 80
 #: band: 64 bins in 16 bands. Two lines of similarity 0.8 miss every band with
 #: probability (1 - 0.8**4)**16, about 2 in 10,000.
 BIN_BITS, BAND_BITS = 6, 4
+#: Parts in which tokens are brought together.
+PASSES = 2
 
 
 def _lines(docs: DataFrame) -> Column:
     return F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once and handed on without a copy."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _shingles(line: Column) -> Column:
     """Sorted distinct hashes of a line's shingles; a short line is one shingle."""
-    raw = line.cast("binary")
-    last = F.greatest(F.octet_length(line) - SHINGLE, F.lit(0))
-    return F.sort_array(
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), last + 1),
-                lambda i: F.xxhash64(F.substring(raw, i, F.lit(SHINGLE))),
-            )
-        )
-    )
+
+    def cut(raw: Column) -> Column:
+        last = F.greatest(F.octet_length(raw) - SHINGLE, F.lit(0))
+        places = F.sequence(F.lit(1), last + 1)
+        hashes = F.transform(places, lambda i: F.xxhash64(F.substring(raw, i, F.lit(SHINGLE))))
+        return F.sort_array(F.array_distinct(hashes))
+
+    return _once(line.cast("binary"), cut)
 
 
 def _signature(hashes: Column) -> Column:
@@ -62,6 +70,51 @@ def _bands(signature: Column) -> Column:
     )
 
 
+def _banded(line: Column) -> Column:
+    """A line's number of shingles n and one token per band that has a value."""
+    return _once(
+        _shingles(line),
+        lambda hashes: F.struct(
+            F.size(hashes).cast("long").alias("n"),
+            _once(
+                _signature(hashes), lambda s: F.transform(_bands(s), lambda band: F.xxhash64(band))
+            ).alias("tokens"),
+        ),
+    )
+
+
+def _alike(line: Column, other: Column) -> Column:
+    """Whether the lines' whole shingle sets have the similarity."""
+    return _once(
+        _shingles(line),
+        lambda a: _once(
+            _shingles(other),
+            lambda b: _once(
+                F.size(F.array_intersect(a, b)),
+                lambda both: 100 * both >= PERCENT * (F.size(a) + F.size(b) - both),
+            ),
+        ),
+    )
+
+
+def _postings(scratch: Scratch, items: DataFrame) -> DataFrame:
+    """(token, c, n) of the tokens that several items have.
+
+    Tokens go through in ``PASSES`` parts, so a shuffle holds one part only.
+    """
+    signed = scratch.store("signed", items.select("c", _banded(F.col("line")).alias("bands")))
+    parts = []
+    for part in range(PASSES):
+        mine = F.filter("bands.tokens", lambda t: F.pmod(t, F.lit(PASSES)) == part)
+        tokens = signed.select("c", F.col("bands.n").alias("n"), F.explode(mine).alias("token"))
+        shared = tokens.groupBy("token").count().filter("count > 1").select("token")
+        shared = scratch.store(f"shared-{part}", shared)
+        parts.append(scratch.store(f"met-{part}", tokens.join(shared, "token").select("token", "c", "n")))
+        scratch.drop(f"shared-{part}")
+    scratch.drop("signed")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def line_dedup(docs: DataFrame) -> DataFrame:
     """Keep one line of each group of nearly equal lines in the corpus.
 
@@ -93,25 +146,21 @@ def line_dedup(docs: DataFrame) -> DataFrame:
         "items",
         placed.groupBy("line")
         .agg(F.min(F.struct("doc", "mark", "place")).alias("first"))
-        .select(F.xxhash64("line").alias("c"), "first", _shingles(F.col("line")).alias("hashes")),
+        .select(F.xxhash64("line").alias("c"), "first", "line"),
+    )
+    postings = _postings(scratch, items)
+    # Hashes are many times the text, so lines travel and are cut again.
+    lines = scratch.store(
+        "lines", items.select("c", "line").join(postings.select("c").distinct(), "c", "left_semi")
     )
-    keys = items.select(
-        "c", F.size("hashes").cast("long").alias("n"), _signature(F.col("hashes")).alias("signature")
-    ).select("c", "n", F.explode(_bands(F.col("signature"))).alias("band"))
-    banded = scratch.store("bands", keys.select(F.xxhash64("band").alias("token"), "c", "n"))
-    shared = banded.groupBy("token").count().filter("count > 1").select("token")
-    postings = scratch.store("postings", banded.join(shared, "token"))
-    sets = items.select("c", "hashes")
+    pivots = lines.select(F.col("c").alias("pivot"), F.col("line").alias("pivot_line"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        both = F.size(F.array_intersect("hashes", "pivot_hashes"))
-        either = F.size("hashes") + F.size("pivot_hashes") - both
         return (
-            pairs.join(sets, "c")
-            .join(sets.select(F.col("c").alias("pivot"), F.col("hashes").alias("pivot_hashes")), "pivot")
-            .select(F.col("pivot").alias("a"), F.col("c").alias("b"), both.alias("both"), either.alias("either"))
-            .filter(100 * F.col("both") >= PERCENT * F.col("either"))
-            .select("a", "b")
+            pairs.join(lines, "c")
+            .join(pivots, "pivot")
+            .filter(_alike(F.col("line"), F.col("pivot_line")))
+            .select(F.col("pivot").alias("a"), F.col("c").alias("b"))
         )
 
     labels = link_rounds(scratch, postings, verify, PERCENT)
@@ -123,6 +172,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     else:
         own = own.withColumn("label", F.col("c"))
     own = scratch.store("labelled", own)
+    scratch.drop("items", "lines")
     kept = own.groupBy("label").agg(F.min("first").alias("keep"))
     keep = scratch.store("keep", own.join(kept, "label").select("c", "keep"))
     removed = (
