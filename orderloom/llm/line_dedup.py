@@ -54,20 +54,19 @@ def _signature(hashes: Column) -> Column:
     )
 
 
-def _bands(signature: Column) -> Column:
-    """One key per band that has a value: the band's number and its minima."""
-    return F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.lit((1 << BAND_BITS) - 1)),
-            lambda b: F.struct(
-                b.alias("band"),
-                F.filter(
-                    signature, lambda v: F.shiftrightunsigned(v, 64 - BAND_BITS) == b.cast("long")
-                ).alias("minima"),
-            ),
-        ),
-        lambda x: F.size(x["minima"]) > 0,
-    )
+def _tokens(signature: Column) -> Column:
+    """One hash per band that has a value, of the band's minima; they are neighbours."""
+
+    def band(value: Column) -> Column:
+        return F.shiftrightunsigned(value, 64 - BAND_BITS)
+
+    def token(value: Column, i: Column) -> Column:
+        opens = F.coalesce(band(F.get(signature, i - 1)) != band(value), F.lit(True))
+        following = [F.get(signature, i + k) for k in range(1, 1 << (BIN_BITS - BAND_BITS))]
+        minima = [F.when(band(v) == band(value), v) for v in following]
+        return F.when(opens, F.xxhash64(value, *minima))
+
+    return F.filter(F.transform(signature, token), lambda t: t.isNotNull())
 
 
 def _banded(line: Column) -> Column:
@@ -76,9 +75,7 @@ def _banded(line: Column) -> Column:
         _shingles(line),
         lambda hashes: F.struct(
             F.size(hashes).cast("long").alias("n"),
-            _once(
-                _signature(hashes), lambda s: F.transform(_bands(s), lambda band: F.xxhash64(band))
-            ).alias("tokens"),
+            _once(_signature(hashes), _tokens).alias("tokens"),
         ),
     )
 
