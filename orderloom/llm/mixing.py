@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ EVIDENCE = 3.0
 #: Without targets, domain shares are raised to this power.
 TEMPER = 0.7
 STEPS, TOLERANCE = 30, 1e-3
+#: Without targets, how much all rates grow at most so that none is below 1.
+MOST_LIFT = 2.0
 
 
 def _bucket_counts(texts: pa.Array) -> tuple[Words, np.ndarray]:
@@ -101,21 +104,29 @@ def with_posteriors(docs: DataFrame, log_words: np.ndarray, into: str) -> DataFr
     )
 
 
-def _rate(p: Column, steps: list[np.ndarray]) -> Column:
-    """The rate after projected steps from 1: each takes off p . step, not below 0."""
+class Rates(NamedTuple):
+    """Projected steps from 1 with the least rate they stop at, and what the result is multiplied by."""
+
+    steps: list[np.ndarray]
+    floor: float = 0.0
+    lift: float = 1.0
+
+
+def _rate(p: Column, fit: Rates) -> Column:
+    """The rate after projected steps from 1: each takes off p . step, not below the floor."""
     rate = F.lit(1.0)
-    for step in steps:
+    for step in fit.steps:
         move = F.lit(0.0)
         for k, value in enumerate(step):
             move = move + F.get(p, F.lit(k)) * F.lit(float(value))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+        rate = F.greatest(F.lit(fit.floor), rate - move)
+    return rate * F.lit(fit.lift)
 
 
 def fit_rates(
     members: DataFrame, weights: np.ndarray | None = None, steps: int = STEPS, tolerance: float = TOLERANCE
-) -> list[np.ndarray]:
-    """Steps whose rates make the expected domain totals match the targets.
+) -> Rates:
+    """Rates that make the expected domain totals match the targets.
 
     ``members`` has tokens and p. Minimizes the squared differences between
     the domain totals sum(rate * tokens * p) and the targets, each divided by
@@ -123,11 +134,16 @@ def fit_rates(
     gradient in the metric of the tokens; with these weights a step length of
     one never overshoots. Targets have the given weights, and a sum at which
     no domain shrinks. Each step is one aggregate over narrow rows; a
-    document's rate follows from its posteriors and the steps alone.
+    document's rate follows from its posteriors and the fit alone.
+
+    Without ``weights`` no member's rate is below 1: all rates are multiplied
+    by what brings the smallest to 1, which leaves the shares of the domains
+    as they are. Beyond ``MOST_LIFT`` the fit is made again over rates that
+    stay above that part of 1, so shares then come only as near as they can.
     """
     first = members.agg(F.max(F.size("p")).alias("k")).first()["k"]
     if not first:
-        return []
+        return Rates([])
 
     def totals(rate: Column) -> np.ndarray:
         found = members.agg(
@@ -136,20 +152,33 @@ def fit_rates(
         return np.array([found[f"t{k}"] or 0.0 for k in range(first)])
 
     own = totals(F.lit(1.0))
+    keep_all = weights is None
     if not own.sum() > 0:
-        return []
+        return Rates([])
     scale = np.maximum(own, own.sum() * 1e-9)
     if weights is None:
         weights = (scale / scale.sum()) ** TEMPER
     weights = np.asarray(weights, dtype=float) / np.sum(weights)
     used = weights > 0
     target = weights * (own[used] / weights[used]).max()
-    taken: list[np.ndarray] = []
-    now = own
-    while len(taken) < steps and np.abs(now - target).max() > tolerance * target.max():
-        taken.append((now - target) / scale)
-        now = totals(_rate(F.col("p"), taken))
-    return taken
+
+    def fitted(floor: float) -> Rates:
+        fit, now = Rates([], floor), own
+        while len(fit.steps) < steps and np.abs(now - target).max() > tolerance * target.max():
+            fit.steps.append((now - target) / scale)
+            now = totals(_rate(F.col("p"), fit))
+        return fit
+
+    fit = fitted(0.0)
+    if not keep_all:
+        return fit
+    least = members.agg(F.min(_rate(F.col("p"), fit)).alias("least")).first()["least"]
+    if least >= 1:
+        return fit
+    if least * MOST_LIFT < 1:
+        return fitted(1 / MOST_LIFT)._replace(lift=MOST_LIFT)
+    # A hair more, so that rounding takes no rate below 1.
+    return fit._replace(lift=(1 + 1e-12) / least)
 
 
 def mix_sources(
@@ -164,7 +193,7 @@ def mix_sources(
     A classifier fitted on ``labelled`` (doc_id, text, domain) predicts each
     document's domain posteriors, and nonnegative rates are fitted so that
     expected domain totals have the target ``weights`` (by domain; domains
-    without one get 0). Every row keeps its columns; ``into`` must be a new
+    without one get 0); without weights no rate is below 1. Every row keeps its columns; ``into`` must be a new
     name. A text without words has no tokens and moves no total. Without
     labelled rows every rate is 1. Repeated rows have equal rates.
     """
@@ -184,12 +213,12 @@ def mix_sources(
         "members", with_posteriors(docs.select("text"), log_words, into).select(f"{into}.*")
     )
     target = None if weights is None else np.array([weights.get(d, 0.0) for d in domains])
-    steps = fit_rates(members, target)
+    fit = fit_rates(members, target)
     scratch.drop("members")
     judged = with_posteriors(docs, log_words, into)
     return judged.withColumn(
         into,
-        F.struct(f"{into}.tokens", f"{into}.p", _rate(F.col(f"{into}.p"), steps).alias("rate")),
+        F.struct(f"{into}.tokens", f"{into}.p", _rate(F.col(f"{into}.p"), fit).alias("rate")),
     )
 
 

@@ -269,3 +269,26 @@ def test_pipeline_stages(spark, docs, sf_dir):
         kept = stage(spark, kept, sf_dir)
         assert kept.columns == docs.columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).count() > 0
+
+
+def soft_texts(n, seed=7):
+    """Texts of a large and a small domain that share most of their words."""
+    random = np.random.default_rng(seed)
+    small = random.random(n) < 0.2
+    return [
+        (i, " ".join(f"w{j}" for j in random.normal(12 if s else 0, 12, 30).astype(int)), "de" if s else "en")
+        for i, s in enumerate(small)
+    ]
+
+
+def test_mixing_stage_keeps_every_document(spark, tmp_path):
+    frame = spark.createDataFrame(soft_texts(2000), "doc_id long, text string, lang string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    mixed = corpus_pipeline.mixing_stage(spark, frame, str(tmp_path))
+    assert mixed.select("doc_id").distinct().count() == 2000
+    labelled = frame.withColumnRenamed("lang", "domain")
+    got = mix_sources(frame, labelled).select("mix.tokens", "mix.p", "mix.rate").collect()
+    totals, own = (np.sum([w * r["tokens"] * np.array(r["p"]) for r in got for w in [r["rate"] if fitted else 1]], axis=0) for fitted in (True, False))
+    wanted = (own / own.sum()) ** 0.7
+    assert min(r["rate"] for r in got) >= 1
+    assert totals / totals.sum() == pytest.approx(wanted / wanted.sum(), rel=0.01)
