@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.mixing import draw_copies, mix_sources
-from orderloom.llm.ngram_join import ngram_components
+from orderloom.llm.ngram_join import drop_near_duplicates
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.quality_rules import quality_rules
 from orderloom.llm.queries import language_labels, tokenizer_path
@@ -31,17 +31,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the smallest doc_id stays.
-
-    Rows are chosen by doc_id, so rows that repeat one stay or go together.
-    """
-    kept = (
-        ngram_components(docs)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept_id"))
-        .distinct()
-    )
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """Of each group of near duplicates one row stays, that of the smallest doc_id."""
+    return drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.components import link_rounds
@@ -20,6 +20,8 @@ SHINGLE, PERCENT = 5, 80
 BLOCK = 64
 
 _NO_ID = (1 << 63) - 1
+#: What tells one row from others: its doc_id, its text's mark and a hash of the text.
+AT = ["doc", "mark", "key"]
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -82,11 +84,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("doc_id"),
                 pa.array(text_marks(batch.column("text"))),
+                batch.column("key"),
                 pa.array(n.astype(np.int64)),
                 pa.array(_set_class(values, bounds)),
                 tokens,
             ],
-            ["doc_id", "mark", "n", "c", "prefix"],
+            ["doc_id", "mark", "key", "n", "c", "prefix"],
         )
 
 
@@ -222,71 +225,86 @@ def _candidates(scratch: Scratch, sets: DataFrame) -> DataFrame:
     )
 
 
-def ngram_components(docs: DataFrame) -> DataFrame:
-    """Link documents by shingle similarity and give each its component.
+def text_key() -> Column:
+    return F.xxhash64(F.col("text").cast("binary"))
 
-    A document's set is its distinct 5-word shingles, ASCII lower-cased.
-    Equal sets form a class and are joined once. Linked classes share tokens
-    in the first part of their sets under any global order, so:
 
-    1. Tokens of set prefixes that occur in two classes are kept, and classes
-       with too few of them to link are done.
-    2. The kept tokens, rarest first, give postings. In each round every
-       posting with more than one component names pivots, and each pivot's
-       candidates are stored in prefix trees that the pivot's set traverses,
-       sharing partial overlaps and leaving subtrees by remaining length.
-    3. Links are contracted to components; pivots leave their postings. The
-       number of pivots grows eightfold a round, so rounds are few and all
-       pairs in different components have met at the end.
+def row_key() -> list[Column]:
+    """The columns ``AT`` of a row with doc_id and text."""
+    mark = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF))
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), mark, text_key()]
 
-    Pairs inside a component are never made, and no posting is cut.
 
-    Returns doc_id, n_shingles, component_id, one row per row. A text
-    without words has an empty set and is linked with nothing. A null doc_id
-    counts as the largest, and stands in component_id only where no other
-    exists. Rows that repeat a doc_id are judged by their own texts. Other
-    columns are not read; an empty table gives an empty result.
-    """
-    scratch = Scratch(docs.sparkSession, "ngram-join")
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _judged(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The set of each row, and of each class (c) its component's smallest row (kept)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = scratch.store(
         "sets",
-        texts.mapInArrow(_prefixes, "doc_id long, mark long, n long, c long, prefix array<long>"),
+        texts.withColumn("key", text_key()).mapInArrow(
+            _prefixes, "doc_id long, mark long, key long, n long, c long, prefix array<long>"
+        ),
     )
     # The prefix is emptied where there is no set, so only real sets are exploded.
     postings = _candidates(scratch, sets)
     doc = F.coalesce("doc_id", F.lit(_NO_ID))
     first = (
         sets.filter("n > 0")
-        .select("c", F.struct(doc.alias("doc"), "mark").alias("at"))
         .groupBy("c")
-        .agg(F.min("at").alias("at"))
-        .select("c", F.col("at.doc").alias("doc"), F.col("at.mark").alias("mark"))
+        .agg(F.min(F.struct(doc.alias("doc"), "mark", "key")).alias("at"))
+        .select("c", "at.*")
     )
     alive = postings.select("c").distinct()
-    mark = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF))
     whole = scratch.store(
         "whole",
-        texts.withColumns({"doc": doc, "mark": mark})
-        .join(first.join(alive, "c"), ["doc", "mark"])
+        texts.withColumns(dict(zip(AT, row_key())))
+        .join(first.join(alive, "c"), AT)
         .dropDuplicates(["c"])
         .select("c", "text")
         .mapInArrow(_whole_sets, "c long, tokens binary"),
     )
     labels = link_rounds(scratch, postings, lambda pairs: _links(pairs, whole), PERCENT)
-    own = first.select("c", "doc")
+    own = first.select("c", F.struct(*AT).alias("at"))
     if labels is not None:
         labelled = own.join(labels, own["c"] == labels["node"], "left").select(
-            "c", "doc", F.coalesce("label", "c").alias("label")
+            "c", "at", F.coalesce("label", "c").alias("label")
         )
     else:
         labelled = own.withColumn("label", F.col("c"))
     labelled = scratch.store("labelled", labelled)
-    least = labelled.groupBy("label").agg(F.min("doc").alias("component"))
-    classes = scratch.store("classes", labelled.join(least, "label").select("c", "component"))
+    least = labelled.groupBy("label").agg(F.min("at").alias("kept"))
+    return sets, scratch.store("classes", labelled.join(least, "label").select("c", "kept"))
+
+
+def ngram_components(docs: DataFrame) -> DataFrame:
+    """Link documents by shingle similarity and give each its component.
+
+    A document's set is its distinct 5-word shingles, ASCII lower-cased.
+    Equal sets form a class and are joined once. Linked classes share tokens
+    in the first part of their sets under any global order, so:
+
+    1. Tokens of set prefixes that occur in two classes are kept, and classes
+       with too few of them to link are done.
+    2. The kept tokens, rarest first, give postings. In each round every
+       posting with more than one component names pivots, and each pivot's
+       candidates are stored in prefix trees that the pivot's set traverses,
+       sharing partial overlaps and leaving subtrees by remaining length.
+    3. Links are contracted to components; pivots leave their postings. The
+       number of pivots grows eightfold a round, so rounds are few and all
+       pairs in different components have met at the end.
+
+    Pairs inside a component are never made, and no posting is cut.
+
+    Returns doc_id, n_shingles, component_id, one row per row. A text
+    without words has an empty set and is linked with nothing. A null doc_id
+    counts as the largest, and stands in component_id only where no other
+    exists. Rows that repeat a doc_id are judged by their own texts. Other
+    columns are not read; an empty table gives an empty result.
+    """
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sets, classes = _judged(scratch, docs)
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
-        F.nullif("component", F.lit(_NO_ID))
+        F.nullif("kept.doc", F.lit(_NO_ID))
     )
     return scratch.finish(
         sets.select("doc_id", "n", "c")
@@ -297,3 +315,24 @@ def ngram_components(docs: DataFrame) -> DataFrame:
             component.cast(kind).alias("component_id"),
         )
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs``: one of each component, and those without words.
+
+    The row with the smallest doc_id stays, of several (a repeated or null
+    doc_id) the one whose text has the smallest mark, and of rows equal in
+    doc_id and text one. A null doc_id counts as the largest.
+    """
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    sets, classes = _judged(scratch, docs)
+    doc = F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc")
+    rows = sets.select(doc, "mark", "key", "n").groupBy(*AT).agg(F.count("*").alias("rows"), F.max("n").alias("n"))
+    chosen = classes.select("kept.*").distinct().unionByName(rows.filter("n = 0").select(*AT))
+    kept = scratch.finish(rows.join(chosen, AT).select(*AT, "rows"), "kept")
+    names = {name: f"_near_{name}" for name in AT}
+    keyed = docs.withColumns(dict(zip(names.values(), row_key())))
+    found = keyed.join(kept.select(*AT).withColumnsRenamed(names), [*names.values()], "left_semi")
+    if not kept.filter("rows > 1").isEmpty():
+        found = found.dropDuplicates([*names.values()])
+    return found.drop(*names.values())

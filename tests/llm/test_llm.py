@@ -292,3 +292,17 @@ def test_mixing_stage_keeps_every_document(spark, tmp_path):
     wanted = (own / own.sum()) ** 0.7
     assert min(r["rate"] for r in got) >= 1
     assert totals / totals.sum() == pytest.approx(wanted / wanted.sum(), rel=0.01)
+
+
+def test_near_stage_with_null_and_repeated_ids(spark, sf_dir):
+    a, b, c, d = (prose(seed, 100) for seed in (31, 32, 33, 34))
+    rows = [
+        (None, a), (None, a + " tail"), (None, "head " + a), (None, b), (1, b + " tail"), (2, c),
+        (7, c + " tail"), (7, d), (7, d + " tail"), (7, d + " tail"), (8, d), (None, ""), (None, None), (9, " "),
+    ]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string")
+    kept = corpus_pipeline.near_stage(spark, frame, sf_dir)
+    assert kept.columns == frame.columns
+    got = sorted((str(r["doc_id"]), (r["text"] or "").split()[1:3]) for r in kept.collect())
+    first = [(str(i), t.split()[1:3]) for i, t in ((1, b), (2, c), (7, d))]
+    assert got[:3] == first and [i for i, _ in got[3:]] == ["9", "None", "None", "None"]
