@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
@@ -15,6 +16,8 @@ from orderloom.llm.words import Words, chunks
 
 #: Expected labelled rows the classifier is fitted on, and its hashed words.
 TRAIN_ROWS, BUCKETS = 5_000, 1 << 14
+#: Expected rows of each domain at least, as far as it has them.
+DOMAIN_ROWS = 50
 #: Words' worth of evidence that a long text's posterior rests on.
 EVIDENCE = 3.0
 #: Without targets, domain shares are raised to this power.
@@ -32,14 +35,24 @@ def _bucket_counts(texts: pa.Array) -> tuple[Words, np.ndarray]:
 def fit_domains(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
     """Domains, sorted, and the log probability of each hashed word in each.
 
-    ``labelled`` has doc_id, text, domain. About ``train_rows`` rows with a
-    domain are used, picked by a hash of doc_id; one count per domain and
-    bucket reaches the driver.
+    ``labelled`` has doc_id, text, domain. Every domain with a text with words
+    counts. About ``train_rows`` rows are used, equally many of each domain,
+    but ``DOMAIN_ROWS`` or all it has where that is more than its part. They
+    are picked by a hash of doc_id and text; one count per domain and one per
+    domain and bucket reach the driver.
     """
-    known = labelled.filter(F.col("domain").isNotNull()).select("doc_id", "text", "domain")
-    total = known.select("doc_id").count()
-    share = min(1.0, train_rows / total) if total else 1.0
-    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    known = labelled.filter(F.col("domain").isNotNull() & F.col("text").rlike(r"\S")).select(
+        "doc_id", "text", F.col("domain").cast("string").alias("domain")
+    )
+    held = {row["domain"]: row["rows"] for row in known.groupBy("domain").agg(F.count("*").alias("rows")).collect()}
+    if not held:
+        return [], np.empty((0, BUCKETS))
+    part = max(DOMAIN_ROWS, -(-train_rows // len(held)))
+    cuts = labelled.sparkSession.createDataFrame(
+        [(name, min(1 << 40, (part << 40) // rows)) for name, rows in held.items()], "domain string, cut long"
+    )
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
+    picked = known.join(F.broadcast(cuts), "domain").filter(place < F.col("cut"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in chunks(whole, "text")):
@@ -58,11 +71,11 @@ def fit_domains(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list
             )
 
     rows = (
-        picked.select("doc_id", "text", F.col("domain").cast("string").alias("domain"))
+        picked.select("doc_id", "text", "domain")
         .mapInArrow(count, "domain string, bucket int, n long")
         .groupBy("domain", "bucket").agg(F.sum("n").alias("n")).collect()
     )
-    domains = sorted({row["domain"] for row in rows})
+    domains = sorted(held)
     counts = np.full((len(domains), BUCKETS), 0.5)
     for row in rows:
         counts[domains.index(row["domain"]), row["bucket"]] += row["n"]
@@ -105,11 +118,17 @@ def with_posteriors(docs: DataFrame, log_words: np.ndarray, into: str) -> DataFr
 
 
 class Rates(NamedTuple):
-    """Projected steps from 1 with the least rate they stop at, and what the result is multiplied by."""
+    """Projected steps from 1 with the least rate they stop at, and what the result is multiplied by.
+
+    ``totals`` and ``target`` are the domain totals it comes to and was to come to.
+    """
 
     steps: list[np.ndarray]
     floor: float = 0.0
     lift: float = 1.0
+    totals: np.ndarray = np.empty(0)
+    target: np.ndarray = np.empty(0)
+    met: bool = True
 
 
 def _rate(p: Column, fit: Rates) -> Column:
@@ -133,7 +152,8 @@ def fit_rates(
     the domain's own total, over rates of 0 or more. A step is the projected
     gradient in the metric of the tokens; with these weights a step length of
     one never overshoots. Targets have the given weights, and a sum at which
-    no domain shrinks. Each step is one aggregate over narrow rows; a
+    no domain shrinks. Each domain is fitted to ``tolerance`` of its own
+    target, in at most ``steps`` steps; ``met`` says whether. Each step is one aggregate over narrow rows; a
     document's rate follows from its posteriors and the fit alone.
 
     Without ``weights`` no member's rate is below 1: all rates are multiplied
@@ -162,12 +182,18 @@ def fit_rates(
     used = weights > 0
     target = weights * (own[used] / weights[used]).max()
 
+    # A domain without a target is to shrink to nothing of its own.
+    allowed = tolerance * np.where(target > 0, target, scale)
+
     def fitted(floor: float) -> Rates:
         fit, now = Rates([], floor), own
-        while len(fit.steps) < steps and np.abs(now - target).max() > tolerance * target.max():
+        while (far := bool((np.abs(now - target) > allowed).any())) and len(fit.steps) < steps:
             fit.steps.append((now - target) / scale)
             now = totals(_rate(F.col("p"), fit))
-        return fit
+        return fit._replace(totals=now, target=target, met=not far)
+
+    def lifted(fit: Rates, by: float) -> Rates:
+        return fit._replace(lift=by, totals=fit.totals * by, target=fit.target * by)
 
     fit = fitted(0.0)
     if not keep_all:
@@ -176,9 +202,9 @@ def fit_rates(
     if least >= 1:
         return fit
     if least * MOST_LIFT < 1:
-        return fitted(1 / MOST_LIFT)._replace(lift=MOST_LIFT)
+        return lifted(fitted(1 / MOST_LIFT), MOST_LIFT)
     # A hair more, so that rounding takes no rate below 1.
-    return fit._replace(lift=(1 + 1e-12) / least)
+    return lifted(fit, (1 + 1e-12) / least)
 
 
 def mix_sources(
@@ -193,7 +219,8 @@ def mix_sources(
     A classifier fitted on ``labelled`` (doc_id, text, domain) predicts each
     document's domain posteriors, and nonnegative rates are fitted so that
     expected domain totals have the target ``weights`` (by domain; domains
-    without one get 0); without weights no rate is below 1. Every row keeps its columns; ``into`` must be a new
+    without one get 0; one whose domain has no labelled words is an error);
+    targets that are not met are reported by a warning. Without weights no rate is below 1. Every row keeps its columns; ``into`` must be a new
     name. A text without words has no tokens and moves no total. Without
     labelled rows every rate is 1. Repeated rows have equal rates.
     """
@@ -201,6 +228,9 @@ def mix_sources(
         raise ValueError(f"docs already has a column {into}")
     scratch = Scratch(docs.sparkSession, "mixing")
     domains, log_words = fit_domains(labelled, train_rows)
+    unknown = sorted(d for d, weight in (weights or {}).items() if weight and d not in domains)
+    if unknown and domains:
+        raise ValueError(f"weights of domains without labelled words: {', '.join(unknown)}")
     if not domains:
         return docs.withColumn(
             into,
@@ -215,6 +245,9 @@ def mix_sources(
     target = None if weights is None else np.array([weights.get(d, 0.0) for d in domains])
     fit = fit_rates(members, target)
     scratch.drop("members")
+    if not fit.met:
+        missed = (f"{d}: {t:.6g} of {w:.6g}" for d, t, w in zip(domains, fit.totals, fit.target))
+        warnings.warn(f"mixing misses its targets after {len(fit.steps)} steps; {'; '.join(missed)}", stacklevel=2)
     judged = with_posteriors(docs, log_words, into)
     return judged.withColumn(
         into,

@@ -16,7 +16,7 @@ from orderloom.llm.chat_format import chat_format
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.language_id import language_id, learn_profiles, predict_languages
 from orderloom.llm.line_dedup import line_dedup
-from orderloom.llm.mixing import draw_copies, mix_sources
+from orderloom.llm.mixing import draw_copies, fit_domains, fit_rates, mix_sources
 from orderloom.llm.ngram_join import Trie, ngram_components
 from orderloom.llm.quality_classifier import classify_quality
 from orderloom.llm.quality_rules import quality_rules
@@ -306,3 +306,24 @@ def test_near_stage_with_null_and_repeated_ids(spark, sf_dir):
     got = sorted((str(r["doc_id"]), (r["text"] or "").split()[1:3]) for r in kept.collect())
     first = [(str(i), t.split()[1:3]) for i, t in ((1, b), (2, c), (7, d))]
     assert got[:3] == first and [i for i, _ in got[3:]] == ["9", "None", "None", "None"]
+
+
+def test_mixing_small_and_rare_domains(spark):
+    members = spark.createDataFrame([(10**9, [1.0, 0.0]), (3 * 10**4, [0.0, 1.0])], "tokens long, p array<double>")
+    fit = fit_rates(members)
+    assert [s[1] for s in fit.steps] == [pytest.approx(1 - (10**9 / (3 * 10**4)) ** 0.3, rel=0.01)]
+
+    rows = [(None if i % 3 else i, f"w{i % 50} v{i % 7} u{i % 11}", "big") for i in range(3000)]
+    labelled = spark.createDataFrame([*rows, (3000, "rare words", "small"), (3001, "", "mute")], "doc_id long, text string, domain string")
+    domains, log_words = fit_domains(labelled, 50)
+    assert domains == ["big", "small"]
+    # A hash of rows without doc_id picks some of them, not all or none.
+    assert 0.2 < np.exp(log_words[0]).max() * 8192.5 < 100
+    with pytest.raises(ValueError, match="mute"):
+        mix_sources(labelled, labelled, {"big": 1.0, "mute": 1.0})
+
+
+def test_mixing_reports_missed_targets(spark):
+    frame = spark.createDataFrame(soft_texts(500), "doc_id long, text string, domain string")
+    with pytest.warns(UserWarning, match="de: .* of .*"):
+        mix_sources(frame, frame, {"de": 0.999, "en": 0.001})
