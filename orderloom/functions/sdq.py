@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderloom.functions.texts import is_container, safe_int
+from orderloom.functions.texts import objects, safe_int
 
 # Keys are SDQ and a number; from 3 on, odd ones are stores.
 SDQ_KEY = "^SDQ[0-9]+$"
@@ -14,11 +14,11 @@ FIRST_INDEX = 3
 
 
 def segments(text: Column) -> Column:
-    """Segment maps in document order; a lone object is one segment."""
-    listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).when(
-        is_container(text), text
-    )
-    return F.from_json(listed, "array<map<string,string>>")
+    """Segment maps in document order; a lone object is one segment.
+
+    A segment that is not an object is NULL and keeps its place.
+    """
+    return F.from_json(objects(text), "array<map<string,string>>")
 
 
 def _index(key: Column) -> Column:

@@ -16,6 +16,40 @@ def container(text: Column) -> Column:
     return F.when(is_container(text), text)
 
 
+def _listed(text: Column) -> Column:
+    """The text of an array; a lone object is one element."""
+    return F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).when(
+        is_container(text), text
+    )
+
+
+def _elements(text: Column) -> Column:
+    return F.from_json(_listed(text), "array<string>")
+
+
+def _is_object(element: Column) -> Column:
+    return F.coalesce(element.startswith("{") & F.try_parse_json(element).isNotNull(), F.lit(False))
+
+
+def objects(text: Column) -> Column:
+    """The text of an array with null for every element that is not an object.
+
+    Where an array of structs or maps is read, one such element makes all of
+    it NULL. Only the arrays that have one are taken apart.
+    """
+    whole = F.from_json(_listed(text), "array<struct<any: string>>").isNotNull()
+    told = F.transform(
+        _elements(text), lambda x: F.when(_is_object(x), x).otherwise(F.lit("null"))
+    )
+    mended = F.concat(F.lit("["), F.array_join(told, ","), F.lit("]"))
+    return F.when(whole, _listed(text)).otherwise(mended)
+
+
+def has_other_than_objects(text: Column) -> Column:
+    """Whether the array has an element that ``objects`` leaves out."""
+    return F.coalesce(F.exists(_elements(text), lambda x: ~_is_object(x)), F.lit(False))
+
+
 def scalar(path: str) -> Column:
     """The text at a column path unless it is a JSON array or object.
 

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.texts import compact_date, container, scalar
+from orderloom.functions.texts import compact_date, container, objects, scalar
 from orderloom.routes import ALL_ROUTES, PRINTED_TYPE, by_route, route_of
 
 ORDER_DOCUMENT = """
@@ -149,12 +149,13 @@ def order_lines(inbound: DataFrame, routes: Iterable[str] = ALL_ROUTES) -> DataF
     """Routed orders unnested to lines, header columns repeated on each.
 
     ``line_pos`` counts from 0. An order without lines keeps one row whose
-    ``has_line`` is false, so that ``line_pos = 0`` finds every order once.
+    ``has_line`` is false, so that ``line_pos = 0`` finds every order once. An
+    element that is not an object is such a row too, in its place among the lines.
     """
     parsed = parse_orders(inbound)
     wanted = parsed.route.isin(list(routes))
     listed = header_fields(parsed).withColumn(
-        "line_list", F.from_json(F.when(wanted, F.col("details_text")), LINE_DOCUMENT)
+        "line_list", F.from_json(F.when(wanted, objects(F.col("details_text"))), LINE_DOCUMENT)
     )
     no_line = F.array(F.lit(None).cast(LINE_DOCUMENT[len("array<") : -1]))
     unnested = listed.select(

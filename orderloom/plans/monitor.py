@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.texts import has_other_than_objects
 from orderloom.operators.ledger import pending
-from orderloom.operators.orders import inbound_scan, parse_orders
+from orderloom.operators.orders import inbound_scan, order_lines, parse_orders
 
 
 def unprocessed_orders(inbound: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -38,5 +39,28 @@ def empty_orders(totals: DataFrame) -> DataFrame:
     ).filter("reason is not null")
 
 
+def damaged_orders(inbound: DataFrame) -> DataFrame:
+    """Routed orders with a line or a segment that is not an object; the others count.
+
+    An order with both has a row of each reason.
+    """
+    scanned = inbound_scan(inbound)
+    named = ["source_id", F.col("company").alias("company_code")]
+    lines = parse_orders(scanned).select(
+        *named,
+        F.when(
+            F.col("route").isNotNull() & has_other_than_objects(F.col("details_text")), "bad line"
+        ).alias("reason"),
+    )
+    segments = order_lines(scanned).select(
+        *named, F.when(has_other_than_objects(F.col("sdq_text")), "bad segment").alias("reason")
+    )
+    return lines.unionByName(segments).filter("reason is not null").distinct()
+
+
 def error_monitor(inbound: DataFrame, ledger: DataFrame, totals: DataFrame) -> DataFrame:
-    return unprocessed_orders(inbound, ledger).unionByName(empty_orders(totals))
+    return (
+        unprocessed_orders(inbound, ledger)
+        .unionByName(empty_orders(totals))
+        .unionByName(damaged_orders(inbound))
+    )

@@ -15,6 +15,8 @@ from orderloom.operators.orders import (
     parse_orders,
     valid_json,
 )
+from orderloom.plans import monitor
+from orderloom.plans.prepare import order_allocations
 
 ROUTED = [
     ("Kohls", "BULK", "NE", "KB"),
@@ -151,3 +153,20 @@ def test_dates_and_scalars_from_text(spark):
         (None, "[x"),
         (None, "plain"),
     ]
+
+
+def test_a_bad_line_or_segment_goes_alone(spark, inbound):
+    good = line(LineItemId="2", sdq=[{"SDQ03": "7", "SDQ04": "5"}, "bad", {"SDQ03": "8", "SDQ04": "6"}])
+    staged = inbound(
+        order([line(sdq={"SDQ03": "1", "SDQ04": "2"}), "x", 5, None, [1], good], kind="PACK BY STORE"),
+        order([line(sdq={"SDQ03": "1", "SDQ04": "2"})], kind="PACK BY STORE", po="PO2"),
+        order([5], kind="PACK BY STORE", po="PO3"),
+    )
+    lines = order_lines(inbound_scan(staged))
+    assert rows(lines.filter("has_line"), "source_id", "line_item_id") == [(1, "1"), (1, "2"), (2, "1")]
+    assert rows(headers(lines), "source_id") == [(1,), (2,), (3,)]
+    got = order_allocations(staged).filter("allocated")
+    assert rows(got, "source_id", "store_number", "qty") == [(1, "1", 2), (1, "7", 5), (1, "8", 6), (2, "1", 2)]
+    assert rows(monitor.damaged_orders(staged), "source_id", "reason") == [
+        (1, "bad line"), (1, "bad segment"), (3, "bad line"),
+    ]
