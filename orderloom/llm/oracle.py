@@ -116,3 +116,129 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, min(r.y) AS com
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.x = d.doc_id
 GROUP BY d.doc_id, s.n
 """
+
+_CRC_TABLE = """
+crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(range(8), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+        FROM range(256) AS r(i)
+    )
+)
+"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's bytes; needs ``t`` from ``crc_table``."""
+    digits = f"hex(encode({text}))"
+
+    def digit(at: str) -> str:
+        return f"(strpos('0123456789ABCDEF', substr({digits}, {at}, 1)) - 1)"
+
+    number = f"16 * {digit('2 * i + 1')} + {digit('2 * i + 2')}"
+    return (
+        f"xor(list_reduce(list_transform(range(strlen({text})), lambda i: CAST({number} AS BIGINT)), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+    )
+
+
+def _merkle_leaf(n_chars: str) -> str:
+    parts = [
+        f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+        for x in ("doc_id", "source", "lang", n_chars, "text")
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE {_CRC_TABLE}, leaves AS (
+    SELECT doc_id, lang, {_merkle_leaf("n_chars")} AS leaf,
+        CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0
+            THEN {_merkle_leaf("n_chars + 1")} ELSE {_merkle_leaf("n_chars")} END AS tampered
+    FROM documents, crc_table
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY lang) AS total
+    FROM leaves
+), tree AS (
+    SELECT lang, 0 AS level, place, leaf AS node, total FROM placed
+    UNION ALL
+    SELECT lang, level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), (total + 1) // 2
+    FROM tree WHERE total > 1 GROUP BY lang, level, place // 2, total
+), subroots AS (
+    SELECT lang, node, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS total
+    FROM tree WHERE total = 1
+), crown AS (
+    SELECT 0 AS level, place, node, total FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(node, '' ORDER BY place)), (total + 1) // 2
+    FROM crown WHERE total > 1 GROUP BY level, place // 2, total
+), folds AS (
+    SELECT doc_id, lang, leaf, tampered AS node, '' AS proof, 0 AS level, place, total FROM placed
+    UNION ALL
+    SELECT f.doc_id, f.lang, f.leaf,
+        sha256(CASE WHEN f.place % 2 = 1 THEN s.node || f.node ELSE f.node || coalesce(s.node, '') END),
+        f.proof || coalesce(s.node, ''), f.level + 1, f.place // 2, (f.total + 1) // 2
+    FROM folds f LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM f.lang
+        AND s.level = f.level AND s.place = xor(f.place, 1)
+    WHERE f.total > 1
+), ends AS (
+    SELECT f.doc_id, f.leaf, s.node AS subroot, f.node, f.proof, 0 AS level, s.place, s.total
+    FROM folds f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.total = 1
+    UNION ALL
+    SELECT e.doc_id, e.leaf, e.subroot,
+        sha256(CASE WHEN e.place % 2 = 1 THEN s.node || e.node ELSE e.node || coalesce(s.node, '') END),
+        e.proof || coalesce(s.node, ''), e.level + 1, e.place // 2, (e.total + 1) // 2
+    FROM ends e LEFT JOIN crown s ON s.level = e.level AND s.place = xor(e.place, 1)
+    WHERE e.total > 1
+)
+SELECT e.doc_id, e.leaf, e.subroot, c.node AS root, sha256(e.proof) AS proof_sha256,
+    e.node AS folded_root, e.node = c.node AS verified
+FROM ends e JOIN crown c ON c.total = 1 WHERE e.total = 1
+"""
+
+_LOWER_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+IMPORTANCE_RESAMPLE = f"""
+WITH {_CRC_TABLE}, corpus AS (
+    SELECT row_number() OVER () AS r, doc_id, {_LOWER_WORDS} AS w FROM documents
+), wanted AS (
+    SELECT unnest({_LOWER_WORDS}) AS word FROM benchmark
+), features AS (
+    SELECT r, unnest(w) AS word FROM corpus
+), buckets AS (
+    SELECT word, {_crc32("word")} % 10000 AS b
+    FROM (SELECT word FROM features UNION SELECT word FROM wanted), crc_table
+), corpus_counts AS (
+    SELECT b, count(*) AS n FROM features JOIN buckets USING (word) GROUP BY b
+), target_counts AS (
+    SELECT b, count(*) AS n FROM wanted JOIN buckets USING (word) GROUP BY b
+), sums AS (
+    SELECT (SELECT count(*) FROM features) AS s, (SELECT count(*) FROM wanted) AS t
+), gains AS (
+    SELECT b, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * (sums.s + 10000)
+        / (CAST(coalesce(c.n, 0) + 1 AS DOUBLE) * (sums.t + 10000)))) AS BIGINT) AS gain
+    FROM corpus_counts c FULL JOIN target_counts t USING (b), sums
+), weights AS (
+    SELECT r, CAST(sum(gain) AS BIGINT) AS weight
+    FROM features JOIN buckets USING (word) JOIN gains USING (b) GROUP BY r
+), draws AS (
+    SELECT r, list_reduce(list_transform(range(1, 9), lambda i: CAST(strpos('0123456789abcdef',
+            substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), i, 1)) - 1 AS BIGINT)),
+        lambda a, x: 16 * a + x) AS h
+    FROM corpus
+), scored AS (
+    SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM corpus LEFT JOIN weights USING (r) JOIN draws USING (r)
+), ranked AS (
+    SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, s.n_features, s.weight, s.score,
+    CASE WHEN k.place <= 10 * k.n // 100 THEN k.place END AS rank
+FROM scored s LEFT JOIN ranked k USING (r)
+"""

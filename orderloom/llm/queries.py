@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from orderloom.llm import oracle
 from orderloom.llm.chat_format import chat_format
 from orderloom.llm.exact_dedup import exact_dedup
+from orderloom.llm.html_extract import extract_text
 from orderloom.llm.language_id import predict_languages
+from orderloom.llm.merkle import merkle_manifest
 from orderloom.llm.line_dedup import line_dedup
 from orderloom.llm.mixing import mix_sources
 from orderloom.llm.ngram_join import ngram_components
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.quality_classifier import classify_quality
 from orderloom.llm.quality_rules import quality_rules
+from orderloom.llm.resample import importance_resample
 from orderloom.llm.substring_dedup import substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +105,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled table of mixing: documents with their language as domain."""
     return _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("domain"))
+
+
+@query(oracle.MERKLE_MANIFEST)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering adds 1 to n_chars where 7 divides the crc32 of the id."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    manifest = merkle_manifest(_table(spark, sf_dir, "documents"), {"n_chars": n_chars})
+    return manifest.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query(oracle.IMPORTANCE_RESAMPLE)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
+@query()
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
