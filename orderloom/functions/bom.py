@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderloom.functions.texts import container, safe_int
+from orderloom.functions.texts import objects, safe_int
 
 COMPONENT = (
     "VendorItemNumber string, ColorDescription string, SizeDescription string, "
@@ -14,8 +14,12 @@ COMPONENT = (
 
 
 def components(text: Column) -> Column:
-    """Component structs in document order; a lone object becomes one component."""
-    return F.from_json(container(text), f"array<struct<{COMPONENT}>>")
+    """Component structs in document order; a lone object becomes one component.
+
+    NULL where the text is no array or object: such a line is not a pack. A
+    component that is not an object is left out.
+    """
+    return F.filter(objects(text, f"struct<{COMPONENT}>"), lambda b: b.isNotNull())
 
 
 def pack_units(bom: Column) -> Column:

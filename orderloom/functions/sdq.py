@@ -9,8 +9,12 @@ from orderloom.functions.texts import objects, safe_int
 
 # Keys are SDQ and a number; from 3 on, odd ones are stores.
 SDQ_KEY = "^SDQ[0-9]+$"
-TWO_DIGITS = "^SDQ(0[3-9]|[1-9][0-9])$"
-FIRST_INDEX = 3
+STORE_KEY = "^SDQ(0*[1-9][0-9]*[13579]|0*[3579])$"
+LEADING_NUMBERS = ["", "1", "2"]
+# The original pairing reads keys of two digits; 99 has no partner.
+TWO_DIGIT_STORE = "^SDQ(0[3579]|[1-8][13579]|9[1357])$"
+
+MAPS = "array<map<string,string>>"
 
 
 def segments(text: Column) -> Column:
@@ -18,20 +22,31 @@ def segments(text: Column) -> Column:
 
     A segment that is not an object is NULL and keeps its place.
     """
-    return F.from_json(objects(text), "array<map<string,string>>")
+    return objects(text, "map<string,string>")
+
 
+def _digits(key: Column) -> Column:
+    return F.substring(key, 4, 1 << 30)
 
-def _index(key: Column) -> Column:
-    """The number of a key that is known to be one."""
-    return F.substring(key, 4, 9).try_cast("int")
+
+def _number(key: Column) -> Column:
+    """The number of a key as text without leading zeros, whatever its length."""
+    return F.ltrim(_digits(key), F.lit("0"))
 
 
 def _used(key: Column) -> Column:
-    return key.rlike(SDQ_KEY) & (_index(key) >= FIRST_INDEX)
+    return key.rlike(SDQ_KEY) & ~_number(key).isin(LEADING_NUMBERS)
 
 
-def _is_store(key: Column) -> Column:
-    return _used(key) & (_index(key) % 2 == 1)
+def _following(number: Column) -> Column:
+    """The next whole number, as text."""
+    stem = F.regexp_replace(number, "9+$", "")
+    carried = F.repeat(F.lit("0"), F.length(number) - F.length(stem))
+    last = F.coalesce(F.right(stem, F.lit(1)).try_cast("int"), F.lit(0))
+    longer = F.concat(
+        F.left(stem, F.length(stem) - 1), (last + 1).cast("string"), carried
+    )
+    return F.when(F.length(number) < 10, (number.cast("int") + 1).cast("string")).otherwise(longer)
 
 
 def _each_segment(maps: Column, build) -> Column:
@@ -39,20 +54,16 @@ def _each_segment(maps: Column, build) -> Column:
     return F.flatten(F.filter(built, lambda part: part.isNotNull()))
 
 
-def entries(maps: Column, two_digits: bool = False) -> Column:
-    """Every used key as (segment, index, value).
-
-    ``two_digits`` reads two digits alone, as the original pairing does.
-    """
-
-    def used(k: Column) -> Column:
-        return k.rlike(TWO_DIGITS) if two_digits else _used(k)
+def entries(maps: Column) -> Column:
+    """Every used key as (segment, index, value); the index is NULL beyond the int range."""
 
     def build(m: Column, i: Column) -> Column:
         return F.transform(
-            F.filter(F.map_keys(m), used),
+            F.filter(F.map_keys(m), _used),
             lambda k: F.struct(
-                i.alias("segment"), _index(k).alias("index"), F.try_element_at(m, k).alias("value")
+                i.alias("segment"),
+                _number(k).try_cast("int").alias("index"),
+                F.try_element_at(m, k).alias("value"),
             ),
         )
 
@@ -60,29 +71,35 @@ def entries(maps: Column, two_digits: bool = False) -> Column:
 
 
 def _partner(m: Column, key: Column) -> Column:
-    """The key with the next number: as usually written, or else found by its number."""
-    following = _index(key) + 1
-    digits = F.when(following < 10, F.concat(F.lit("0"), following.cast("string"))).otherwise(
-        following.cast("string")
-    )
-    usual = F.concat(F.lit("SDQ"), digits)
-    found = F.get(F.filter(F.map_keys(m), lambda k: k.rlike(SDQ_KEY) & (_index(k) == following)), F.lit(0))
-    return F.when(F.map_contains_key(m, usual), usual).otherwise(found)
+    """The key with the next number: written with as many digits, or else any spelling."""
+    following = _following(_number(key))
+    zeros = F.repeat(F.lit("0"), F.greatest(F.lit(0), F.length(key) - 3 - F.length(following)))
+    usual = F.concat(F.lit("SDQ"), zeros, following)
+    others = F.filter(F.map_keys(m), lambda k: k.rlike(SDQ_KEY) & (_number(k) == following))
+    return F.when(F.map_contains_key(m, usual), usual).otherwise(F.get(others, F.lit(0)))
+
+
+def _pair(i: Column, store: Column, qty: Column) -> Column:
+    return F.struct(i.alias("segment"), store.alias("store_number"), qty.alias("qty"))
+
 
+def _store_pairs(maps: Column) -> Column:
+    """(key of the quantity, pair) of every store."""
 
-def _store_pairs(maps: Column, wanted) -> Column:
     def build(m: Column, i: Column) -> Column:
-        found = F.transform(
-            F.filter(F.map_keys(m), lambda k: wanted(m, k)),
-            lambda k: F.struct(
-                F.try_element_at(m, k).alias("store"),
-                F.try_element_at(m, _partner(m, k)).alias("qty"),
-            ),
+        partnered = F.transform(
+            F.filter(F.map_keys(m), lambda k: k.rlike(STORE_KEY)),
+            lambda k: F.struct(k.alias("store"), _partner(m, k).alias("qty")),
         )
         return F.transform(
-            found,
+            partnered,
             lambda x: F.struct(
-                i.alias("segment"), x["store"].alias("store_number"), safe_int(x["qty"]).alias("qty")
+                x["qty"].alias("found"),
+                _pair(
+                    i,
+                    F.try_element_at(m, x["store"]),
+                    safe_int(F.try_element_at(m, x["qty"])),
+                ).alias("pair"),
             ),
         )
 
@@ -95,13 +112,64 @@ def pairs(maps: Column) -> Column:
     A store whose next key is missing is left out; a quantity that is not a
     whole number stays as NULL.
     """
-    return _store_pairs(
-        maps, lambda m, k: F.when(_is_store(k), _partner(m, k).isNotNull())
-    )
+    partnered = F.filter(_store_pairs(maps), lambda x: x["found"].isNotNull())
+    return F.transform(partnered, lambda x: x["pair"])
 
 
 def positive_pairs(maps: Column) -> Column:
     """The pairs with a quantity above zero; a missing one drops by itself."""
-    return F.filter(
-        _store_pairs(maps, lambda m, k: _is_store(k)), lambda pair: pair["qty"] > 0
-    )
+    found = F.filter(_store_pairs(maps), lambda x: x["pair"]["qty"] > 0)
+    return F.transform(found, lambda x: x["pair"])
+
+
+def repeated_numbers(maps: Column) -> Column:
+    """Whether a segment spells the number of a used key in two ways."""
+
+    def twice(m: Column) -> Column:
+        numbers = F.transform(F.filter(F.map_keys(m), _used), _number)
+        return F.size(F.array_distinct(numbers)) < F.size(numbers)
+
+    return F.coalesce(F.exists(maps, twice), F.lit(False))
+
+
+def matched_pairs(maps: Column, partners: Column, summed: bool) -> Column:
+    """Pairs of the original joins: a store meets the quantities of all ``partners``.
+
+    ``partners`` are the segment maps of the lines that share the line's pairing
+    key, itself included; segments pair by position, keys have two digits.
+    Quantities that are equal come as one pair with their count as ``copies``,
+    or all as one pair with their sum. Only positive ones count.
+    """
+
+    def build(m: Column, i: Column) -> Column:
+        def of_store(key: Column) -> Column:
+            following = F.concat(
+                F.lit("SDQ"),
+                F.lpad((F.substring(key, 4, 2).cast("int") + 1).cast("string"), 2, "0"),
+            )
+            quantities = F.filter(
+                F.transform(partners, lambda p: safe_int(F.try_element_at(F.get(p, i), following))),
+                lambda q: q > 0,
+            )
+            return F.struct(F.try_element_at(m, key).alias("store"), quantities.alias("quantities"))
+
+        def total(x: Column) -> Column:
+            added = F.aggregate(x["quantities"], F.lit(0).cast("long"), lambda t, q: t + q)
+            return F.array(_pair(i, x["store"], added))
+
+        def each(x: Column) -> Column:
+            return F.transform(
+                F.array_distinct(x["quantities"]),
+                lambda q: F.struct(
+                    i.alias("segment"),
+                    x["store"].alias("store_number"),
+                    q.alias("qty"),
+                    F.size(F.filter(x["quantities"], lambda o: o == q)).cast("long").alias("copies"),
+                ),
+            )
+
+        stores = F.transform(F.filter(F.map_keys(m), lambda k: k.rlike(TWO_DIGIT_STORE)), of_store)
+        met = F.filter(stores, lambda x: F.size(x["quantities"]) > 0)
+        return F.flatten(F.transform(met, total if summed else each))
+
+    return _each_segment(maps, build)

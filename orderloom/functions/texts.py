@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 
 def is_container(text: Column) -> Column:
-    """The JSON text is an array or an object; NULL and scalars are not."""
+    """The text may be a JSON array or object: it begins like one.
+
+    A plain string may begin so too. What is read with ``objects`` is NULL then.
+    """
     return F.coalesce(text.startswith("[") | text.startswith("{"), F.lit(False))
 
 
 def container(text: Column) -> Column:
-    """The text when it is an array or an object, else NULL."""
+    """The text when it may be an array or an object, else NULL."""
     return F.when(is_container(text), text)
 
 
@@ -23,42 +26,55 @@ def _listed(text: Column) -> Column:
     )
 
 
-def _elements(text: Column) -> Column:
-    return F.from_json(_listed(text), "array<string>")
+def _mended(text: Column) -> Column:
+    """The text of an array with null for every element that is not an object.
 
+    The kinds come from the variants of the elements, because a quoted string
+    can hold the text of an object. They are missing only where a key repeats
+    inside an element; then the text decides.
+    """
+    listed = _listed(text)
+    kinds = F.coalesce(
+        F.from_json(listed, "array<variant>"), F.expr("cast(array() as array<variant>)")
+    )
 
-def _is_object(element: Column) -> Column:
-    return F.coalesce(element.startswith("{") & F.try_parse_json(element).isNotNull(), F.lit(False))
+    def told(element: Column, kind: Column) -> Column:
+        by_text = element.startswith("{") & F.try_parse_json(element).isNotNull()
+        is_object = F.coalesce(F.schema_of_variant(kind).startswith("OBJECT"), by_text)
+        return F.when(is_object, element).otherwise(F.lit("null"))
 
+    elements = F.zip_with(F.from_json(listed, "array<string>"), kinds, told)
+    return F.concat(F.lit("["), F.array_join(elements, ","), F.lit("]"))
 
-def objects(text: Column) -> Column:
-    """The text of an array with null for every element that is not an object.
 
-    Where an array of structs or maps is read, one such element makes all of
-    it NULL. Only the arrays that have one are taken apart.
+def objects(text: Column, element: str) -> Column:
+    """The elements of an array of objects, a lone object as one element.
+
+    An element that is not an object is NULL and keeps its place; text that is
+    no array or object gives NULL. One such element makes Spark's reader return
+    NULL for all of them, so those few arrays are read a second time, mended.
     """
-    whole = F.from_json(_listed(text), "array<struct<any: string>>").isNotNull()
-    told = F.transform(
-        _elements(text), lambda x: F.when(_is_object(x), x).otherwise(F.lit("null"))
-    )
-    mended = F.concat(F.lit("["), F.array_join(told, ","), F.lit("]"))
-    return F.when(whole, _listed(text)).otherwise(mended)
+    kind = f"array<{element}>"
+    return F.coalesce(F.from_json(_listed(text), kind), F.from_json(_mended(text), kind))
 
 
-def has_other_than_objects(text: Column) -> Column:
-    """Whether the array has an element that ``objects`` leaves out."""
-    return F.coalesce(F.exists(_elements(text), lambda x: ~_is_object(x)), F.lit(False))
+def has_gap(listed: Column) -> Column:
+    """Whether ``objects`` left an element out."""
+    return F.coalesce(F.exists(listed, lambda x: x.isNull()), F.lit(False))
 
 
-def scalar(path: str) -> Column:
+def scalar(text: Column | str) -> Column:
     """The text at a column path unless it is a JSON array or object.
 
     A plain string may start with a bracket too, so only those few are parsed.
     """
-    return F.expr(
-        f"if((startswith({path}, '[') or startswith({path}, '{{')) "
-        f"and try_parse_json({path}) is not null, null, {path})"
-    )
+    if isinstance(text, str):
+        return F.expr(
+            f"if((startswith({text}, '[') or startswith({text}, '{{')) "
+            f"and try_parse_json({text}) is not null, null, {text})"
+        )
+    held = is_container(text) & F.try_parse_json(text).isNotNull()
+    return F.when(held, F.lit(None)).otherwise(text)
 
 
 def not_blank(text: Column) -> Column:

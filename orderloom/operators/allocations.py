@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.sdq import entries, pairs, positive_pairs, segments
-from orderloom.functions.texts import safe_int
+from orderloom.functions import sdq
+from orderloom.functions.sdq import entries, pairs, segments
+from orderloom.functions.texts import (
+    container,
+    decimal_text_int,
+    has_gap,
+    safe_decimal,
+    scalar,
+)
 from orderloom.operators.attributes import ATTRIBUTES
 from orderloom.operators.orders import HEADER_COLUMNS
 from orderloom.routes import (
@@ -21,12 +28,26 @@ LINE_COLUMNS = [
     "has_line",
     *[c for c in ATTRIBUTES if c != "line_qty"],
 ]
-ALLOCATION = "array<struct<segment: int, store_number: string, qty: int>>"
+AMOUNT = "decimal(29,2)"
+# The flags and totals that one pass over the lines of an order gives.
+TOTALS = [
+    "total_items",
+    "total_qty",
+    "total_amount",
+    "line_rows",
+    "allocated_rows",
+    "bad_stores",
+    "bad_lines",
+    "bad_segments",
+    "repeated_keys",
+]
 
 
 def sdq_segments(lines: DataFrame) -> DataFrame:
     """One row per segment of each line: its position and its key/value map."""
-    return lines.select("*", F.posexplode(segments(F.col("sdq_text"))).alias("segment", "keys"))
+    return lines.select(
+        "*", F.posexplode(segments(F.col("sdq_text"))).alias("segment", "keys")
+    ).filter("keys IS NOT NULL")
 
 
 def sdq_fields(lines: DataFrame) -> DataFrame:
@@ -45,21 +66,21 @@ def positive_qty(paired: DataFrame) -> DataFrame:
 
 def lines_without_sdq(lines: DataFrame) -> DataFrame:
     """Lines that are kept in the details although nothing is allocated."""
-    return lines.filter(
-        F.col("has_line")
-        & F.col("route").isin(KEEP_UNALLOCATED_ROUTES)
-        & F.col("sdq_text").isNull()
-    )
+    kept = F.col("has_line") & F.col("route").isin(KEEP_UNALLOCATED_ROUTES)
+    return lines.filter(kept & segments(F.col("sdq_text")).isNull())
 
 
-def _one(store: Column, qty: Column) -> Column:
-    return F.array(
-        F.struct(
-            F.lit(None).cast("int").alias("segment"),
-            store.alias("store_number"),
-            qty.alias("qty"),
-        )
-    )
+def _kind(pairing: str | None) -> str:
+    """Type of ``stores``: the details of the original joins count copies, their sums are long."""
+    rest = {None: "qty: int", "details": "qty: int, copies: bigint"}.get(pairing, "qty: bigint")
+    return f"array<struct<segment: int, store_number: string, {rest}>>"
+
+
+def _one(store: Column, qty: Column, pairing: str | None = None) -> Column:
+    copies = [F.lit(1).cast("long").alias("copies")] if pairing == "details" else []
+    segment = F.lit(None).cast("int").alias("segment")
+    one = F.struct(segment, store.alias("store_number"), qty.alias("qty"), *copies)
+    return F.array(one).cast(_kind(pairing))
 
 
 def header_store() -> Column:
@@ -67,132 +88,171 @@ def header_store() -> Column:
     return _one(F.col("division_store"), F.col("line_qty"))
 
 
-def line_stores(attributed: DataFrame) -> DataFrame:
-    """Add ``stores``: the allocations of each line, for all routes, without any join.
+def _stores(
+    has_line: Column, maps: Column, line_qty: Column, paired: Column, pairing: str | None = None
+) -> Column:
+    """The allocations of one line, whatever its route.
 
     Maurices sends one store per order and the quantity on the line; lines
     without allocations stay with NULLs where the route keeps them; the rest
-    pair inside their segment and keep positive quantities.
+    come paired.
     """
-    unallocated = F.col("route").isin(KEEP_UNALLOCATED_ROUTES) & F.col("sdq_text").isNull()
-    stores = (
-        F.when(~F.col("has_line"), F.lit(None).cast(ALLOCATION))
-        .when(F.col("route") == "MS", header_store())
-        .when(unallocated, _one(F.lit(None).cast("string"), F.lit(None).cast("int")))
-        .otherwise(positive_pairs(segments(F.col("sdq_text"))))
+    unallocated = F.col("route").isin(KEEP_UNALLOCATED_ROUTES) & maps.isNull()
+    none = _one(F.lit(None).cast("string"), F.lit(None).cast("int"), pairing)
+    return (
+        F.when(~has_line, F.lit(None).cast(_kind(pairing)))
+        .when(F.col("route") == "MS", _one(F.col("division_store"), line_qty, pairing))
+        .when(unallocated, none)
+        .otherwise(paired)
     )
-    return attributed.withColumn("stores", stores)
 
 
-def allocations(stored: DataFrame) -> DataFrame:
-    """Lines unnested to stores.
+def line_stores(attributed: DataFrame) -> DataFrame:
+    """Add ``stores`` to unnested lines: their allocations, without any join."""
+    read = attributed.withColumn("maps", segments(F.col("sdq_text")))
+    maps = F.col("maps")
+    stores = _stores(F.col("has_line"), maps, F.col("line_qty"), sdq.positive_pairs(maps))
+    return read.withColumn("stores", stores).drop("maps")
 
-    An order or line that yields nothing stays as one row with ``allocated``
-    false, so header totals need no second pass over the documents.
-    """
-    return stored.select(*LINE_COLUMNS, F.explode_outer("stores").alias("a")).select(
-        *LINE_COLUMNS,
-        F.col("a").isNotNull().alias("allocated"),
-        "a.store_number",
-        "a.qty",
-    )
 
+def _upc(line: Column) -> Column:
+    return scalar(
+        F.when(F.col("route").isin("KB", "KS"), line["GTIN"]).when(
+            F.col("route") != "MS", line["ProductId"]
+        )
+    )
 
-def _strict_slots(attributed: DataFrame, report: str) -> tuple[DataFrame, list[str]]:
-    """Used keys of every line with the pairing key of the report's own join.
 
-    Lines that need no pairing come along as one ``direct`` row each, so the
-    documents are not read a second time for them.
-    """
+def _pairing_key(line: Column, report: str) -> Column:
+    """What lines must share to pair in the report's own join, NULL when a part is missing."""
     keys = STRICT_KEYS[report]
+    parts = {"line": line["LineItemId"], "style": line["VendorItemNumber"], "upc": _upc(line)}
+    values, whole = [], F.lit(True)
+    for part, value in parts.items():
+        used = F.col("route").isin([r for r, named in keys.items() if part in named])
+        shown = F.when(used, value if part == "upc" else scalar(value)).otherwise(F.lit(""))
+        values.append(shown.alias(part))
+        whole = whole & shown.isNotNull()
+    return F.when(whole, F.struct(*values))
+
+
+def read_segments(listed: DataFrame) -> DataFrame:
+    """Add ``map_lists``: the segment maps of every line of listed orders."""
+    maps = F.transform(
+        "line_list", lambda line: segments(container(line["DestinationInfo"]["SDQ"]))
+    )
+    return listed.withColumn("map_lists", maps)
+
 
-    def uses(part: str) -> Column:
-        return F.col("route").isin([r for r, parts in keys.items() if part in parts])
+def pair_lists(read: DataFrame, pairing: str | None = None, name: str = "store_lists") -> DataFrame:
+    """Add the allocations of every line, paired inside the order's own row.
 
-    direct = F.col("route") == "MS"
-    if report == "details":
-        direct = direct | (
-            F.col("route").isin(KEEP_UNALLOCATED_ROUTES) & F.col("sdq_text").isNull()
+    By default a store takes the quantity of its own line and segment. With
+    ``pairing`` the name of a report, it takes those of all lines that share the
+    key of that report's original join. The lines of a document are one row
+    here, so neither way needs a join or a shuffle; a line looks only at the
+    lines of its key.
+    """
+    if pairing is None:
+        rows, lists = read, ["line_list", "map_lists"]
+    else:
+        legible = ~F.col("route").isin(OBJECT_ONLY_ROUTES)
+        told = F.transform(
+            F.arrays_zip("line_list", "map_lists"),
+            lambda x: F.struct(
+                _pairing_key(x["line_list"], pairing).alias("key"),
+                F.when(
+                    legible | x["line_list"]["DestinationInfo"]["SDQ"].startswith("{"), x["map_lists"]
+                ).alias("maps"),
+            ),
         )
-    nothing = F.expr("array(struct(cast(null as int) segment, cast(null as int) index, '' value))")
-    legible = ~F.col("route").isin(OBJECT_ONLY_ROUTES) | F.col("sdq_text").startswith("{")
-    used = entries(segments(F.when(legible, F.col("sdq_text"))), two_digits=True)
-    slots = attributed.filter("has_line").select(
-        *LINE_COLUMNS,
-        "line_qty",
-        direct.alias("direct"),
-        F.when(uses("line"), F.col("line_item_id")).otherwise("").alias("key_line"),
-        F.when(uses("style"), F.col("style")).otherwise("").alias("key_style"),
-        F.when(uses("upc"), F.col("upc")).otherwise("").alias("key_upc"),
-        F.inline(F.when(direct, nothing).otherwise(used)),
-    )
-    is_store = F.col("index") % 2 == 1
-    on = ["source_id", "key_line", "key_style", "key_upc", "key_segment", "key_index"]
-    matchable = F.lit(True)
-    for name in on[1:4]:
-        matchable = matchable & F.col(name).isNotNull()
-    return (
-        slots.filter(F.col("direct") | matchable).select(
-            *LINE_COLUMNS,
-            *on[1:4],
-            F.when(uses("segment"), F.col("segment")).otherwise(0).alias("key_segment"),
-            F.when(is_store, F.col("index") + 1).otherwise(F.col("index")).alias("key_index"),
-            "direct",
-            (F.col("direct") | is_store).alias("is_store"),
-            F.when(F.col("route") == "MS", F.col("division_store"))
-            .when(is_store, F.col("value"))
-            .alias("store_number"),
-            F.when(F.col("direct"), F.col("line_qty"))
-            .when(~is_store, safe_int(F.col("value")))
-            .alias("slot_qty"),
-        ),
-        on,
-    )
+        rows = read.withColumn("told", told)
+        lists = ["line_list", "map_lists", "told"]
 
+    def stores(x: Column) -> Column:
+        line, maps = x["line_list"], x["map_lists"]
+        if pairing is None:
+            paired = sdq.positive_pairs(maps)
+        else:
+            same = F.filter("told", lambda y: y["key"] == x["told"]["key"])
+            partners = F.transform(same, lambda y: y["maps"])
+            paired = sdq.matched_pairs(x["told"]["maps"], partners, pairing != "details")
+        qty = decimal_text_int(line["Quantity"])
+        return _stores(line.isNotNull(), maps, qty, paired, pairing)
 
-def strict_details(attributed: DataFrame) -> DataFrame:
-    """Details paired with the keys of the original joins.
+    return rows.withColumn(name, F.transform(F.arrays_zip(*lists), stores)).drop("told")
 
-    Where those keys leave out the line or the segment, lines with the same
-    UPC share their quantities; a NULL key never matches. Equal quantities are
-    counted before the join and the count travels as ``copies``, so repeated
-    lines do not multiply rows: a row stands for ``copies`` identical ones.
+
+def totals_in_place(paired: DataFrame, name: str = "store_lists") -> Column:
+    """A struct of all header totals and flags of an order, from its lists alone.
+
+    Items are distinct UPCs, or SKUs for Maurices, whose lines have no UPC.
+    Orders without lines or allocations have zeros. Quantities and lines are
+    added up inside the order's row, so nothing is shuffled.
     """
-    slots, on = _strict_slots(attributed, "details")
-    quantities = (
-        slots.filter("not is_store and slot_qty > 0")
-        .groupBy(*on, F.col("slot_qty").alias("matched_qty"))
-        .agg(F.count("*").alias("matches"))
-    )
-    return (
-        slots.filter("is_store")
-        .join(quantities, on, "left")
-        .filter("direct or matches is not null")
-        .select(
-            *LINE_COLUMNS,
-            F.lit(True).alias("allocated"),
-            "store_number",
-            F.when(F.col("direct"), F.col("slot_qty"))
-            .otherwise(F.col("matched_qty"))
-            .alias("qty"),
-            F.coalesce("matches", F.lit(1)).alias("copies"),
+    kinds = paired.schema[name].dataType.elementType.elementType.names
+    zipped = F.arrays_zip("line_list", name, "map_lists")
+
+    def added(stores: Column) -> Column:
+        def step(total: Column, x: Column) -> Column:
+            times = x["copies"] if "copies" in kinds else F.lit(1).cast("long")
+            return total + F.coalesce(x["qty"].cast("long") * times, F.lit(0).cast("long"))
+
+        return F.aggregate(stores, F.lit(0).cast("long"), step)
+
+    def items(x: Column) -> Column:
+        item = F.when(F.col("route") == "MS", scalar(x["line_list"]["ProductId"])).otherwise(
+            _upc(x["line_list"])
         )
+        return F.when(F.size(x[name]) > 0, item)
+
+    def amount(x: Column) -> Column:
+        price = safe_decimal(scalar(x["line_list"]["UnitPrice"]))
+        return (price * added(x[name])).cast(AMOUNT)
+
+    def count(column: str, test) -> Column:
+        return F.coalesce(F.size(F.filter(column, test)), F.lit(0)).cast("long")
+
+    def sum_of(values: Column, kind: str) -> Column:
+        zero = F.lit(0).cast(kind)
+        return F.coalesce(
+            F.aggregate(values, zero, lambda t, v: (t + F.coalesce(v, zero)).cast(kind)), zero
+        )
+
+    stores = F.filter(
+        F.flatten(F.transform(F.filter(name, lambda s: s.isNotNull()), lambda s: s["store_number"])),
+        lambda n: n.isNotNull(),
+    )
+    named = F.filter(F.transform(zipped, items), lambda i: i.isNotNull())
+    return F.struct(
+        F.coalesce(F.size(F.array_distinct(named)), F.lit(0)).alias("total_items"),
+        sum_of(F.transform(zipped, lambda x: added(x[name])), "long").alias("total_qty"),
+        sum_of(F.transform(zipped, amount), AMOUNT).alias("total_amount"),
+        count("line_list", lambda x: x.isNotNull()).alias("line_rows"),
+        sum_of(
+            F.transform(name, lambda s: F.size(s).cast("long")), "long"
+        ).alias("allocated_rows"),
+        F.coalesce(
+            F.size(F.filter(stores, lambda n: n.try_cast("int").isNull())), F.lit(0)
+        ).cast("long").alias("bad_stores"),
+        has_gap(F.col("line_list")).alias("bad_lines"),
+        F.coalesce(F.exists("map_lists", lambda m: has_gap(m)), F.lit(False)).alias("bad_segments"),
+        F.coalesce(F.exists("map_lists", sdq.repeated_numbers), F.lit(False)).alias("repeated_keys"),
     )
 
 
-def strict_sums(attributed: DataFrame, report: str) -> DataFrame:
-    """Store slots with the sum of all quantities their key matches.
+def allocations(stored: DataFrame, stores: str = "stores") -> DataFrame:
+    """Lines unnested to stores.
 
-    The sum comes from one window over the slots of a document, so matching
-    quantities are added up where they are instead of being joined pair by
-    pair. Feeds the summing reports; same columns as ``allocations``.
+    An order or line that yields nothing stays as one row with ``allocated``
+    false, so header totals need no second pass over the documents.
     """
-    slots, on = _strict_slots(attributed, report)
-    matching = F.when(~F.col("is_store") & (F.col("slot_qty") > 0), F.col("slot_qty"))
-    shared = F.sum(matching).over(Window.partitionBy(*on))
-    qty = F.when(F.col("direct"), F.col("slot_qty")).otherwise(shared)
-    return (
-        slots.withColumn("qty", qty)
-        .filter("is_store and (direct or qty is not null)")
-        .select(*LINE_COLUMNS, F.lit(True).alias("allocated"), "store_number", "qty")
+    fields = stored.schema[stores].dataType.elementType.names
+    extra = [F.coalesce("a.copies", F.lit(1)).alias("copies")] if "copies" in fields else []
+    return stored.select(*LINE_COLUMNS, F.explode_outer(stores).alias("a")).select(
+        *LINE_COLUMNS,
+        F.col("a").isNotNull().alias("allocated"),
+        "a.store_number",
+        "a.qty",
+        *extra,
     )

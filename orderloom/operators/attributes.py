@@ -25,9 +25,9 @@ ATTRIBUTES = [
 ]
 
 
-def is_pack(bom_text: Column | str = "bom_text") -> Column:
-    """The line carries a bill of materials."""
-    return (F.col(bom_text) if isinstance(bom_text, str) else bom_text).isNotNull()
+def is_pack(bom: Column | str = "bom") -> Column:
+    """The line carries a bill of materials, an array or an object."""
+    return (F.col(bom) if isinstance(bom, str) else bom).isNotNull()
 
 
 def pack_size_label(route: Column | str = "route") -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators.attributes import is_pack
@@ -37,16 +37,25 @@ def catalogue_lookup(companies: DataFrame, product: DataFrame, retail: DataFrame
     )
 
 
+def looks_up() -> Column:
+    """Whether a line takes color and size from the catalogue: Belk's, packs excepted."""
+    route = F.col("route")
+    belk = (route == "BS") | ((route == "BB") & ~is_pack())
+    return F.coalesce(belk & F.col("product_id").isNotNull(), F.lit(False))
+
+
 def catalogue_override(attributed: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Catalogue color and size first, the document's as fallback; packs keep theirs.
 
     Lines that never look anything up get a key of their own, so that a
     shuffled join spreads them instead of gathering missing ids in one task.
+    Where lines are stored, the full run joins only those that look up.
     """
-    looks = F.col("route").isin("BB", "BS") & F.col("product_id").isNotNull()
     keyed = attributed.withColumn(
         "look_key",
-        F.when(looks, F.col("product_id")).otherwise(F.concat(F.lit("\0"), F.col("source_id"))),
+        F.when(looks_up(), F.col("product_id")).otherwise(
+            F.concat(F.lit("\0"), F.col("source_id"))
+        ),
     )
     joined = keyed.join(
         catalogue,
@@ -54,13 +63,10 @@ def catalogue_override(attributed: DataFrame, catalogue: DataFrame) -> DataFrame
         & (F.col("look_key") == F.col("catalogue_product")),
         "left",
     )
-    applies = (F.col("route") == "BS") | ((F.col("route") == "BB") & ~is_pack())
     return joined.withColumns(
         {
-            "color": F.when(applies, F.coalesce("catalogue_color", "color")).otherwise(
-                F.col("color")
-            ),
-            "size": F.when(applies, F.coalesce("catalogue_size", "size")).otherwise(F.col("size")),
+            "color": F.coalesce("catalogue_color", "color"),
+            "size": F.coalesce("catalogue_size", "size"),
         }
     ).drop(
         "look_key", "catalogue_company", "catalogue_product", "catalogue_color", "catalogue_size"

@@ -1,66 +1,74 @@
-"""Orders that need a look: never processed, or processed to nothing."""
+"""Orders that need a look: never processed, processed to nothing, or damaged."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.texts import has_other_than_objects
-from orderloom.operators.ledger import pending
-from orderloom.operators.orders import inbound_scan, order_lines, parse_orders
+from orderloom.operators.allocations import pair_lists, read_segments, totals_in_place
+from orderloom.operators.ledger import settled
+from orderloom.operators.orders import inbound_scan, listed_orders
 
 
-def unprocessed_orders(inbound: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Staging rows without details, and why.
-
-    The document is reduced to its verdict before the ledger join, so only
-    ids and codes are shuffled.
-    """
-    verdict = parse_orders(inbound_scan(inbound)).select(
-        "source_id",
-        "company_code",
-        F.when(~F.col("readable"), "bad JSON")
-        .when(F.col("route").isNull(), "no route")
-        .otherwise("details missing")
-        .alias("reason"),
-    )
-    return pending(verdict, ledger, "details", key="source_id")
+def unusable_reason() -> Column:
+    """Why no report can take the order, NULL when one does."""
+    return F.when(~F.col("readable"), "bad JSON").when(F.col("route").isNull(), "no route")
 
 
-def empty_orders(totals: DataFrame) -> DataFrame:
-    """Processed orders whose reports are empty or carry an unusable store."""
-    return totals.select(
-        "source_id",
-        F.col("company").alias("company_code"),
+def empty_reason() -> Column:
+    """Why the reports of a processed order are empty or carry an unusable store."""
+    return (
         F.when(F.col("line_rows") == 0, "no lines")
         .when(F.col("allocated_rows") == 0, "no valid pair")
         .when(F.col("bad_stores") > 0, "bad store")
-        .alias("reason"),
-    ).filter("reason is not null")
+    )
 
 
-def damaged_orders(inbound: DataFrame) -> DataFrame:
-    """Routed orders with a line or a segment that is not an object; the others count.
+def damage_reasons() -> list[Column]:
+    """What was left out of an order that is reported otherwise."""
+    return [
+        F.when(F.col("bad_lines"), "bad line"),
+        F.when(F.col("bad_segments"), "bad segment"),
+        F.when(F.col("repeated_keys"), "repeated key"),
+    ]
 
-    An order with both has a row of each reason.
-    """
-    scanned = inbound_scan(inbound)
-    named = ["source_id", F.col("company").alias("company_code")]
-    lines = parse_orders(scanned).select(
-        *named,
-        F.when(
-            F.col("route").isNotNull() & has_other_than_objects(F.col("details_text")), "bad line"
-        ).alias("reason"),
-    )
-    segments = order_lines(scanned).select(
-        *named, F.when(has_other_than_objects(F.col("sdq_text")), "bad segment").alias("reason")
-    )
-    return lines.unionByName(segments).filter("reason is not null").distinct()
 
+def _each_reason(rows: DataFrame, *reasons: Column) -> DataFrame:
+    """One row per order and reason that holds."""
+    held = F.array_compact(F.array(*reasons))
+    return rows.select("source_id", "company_code", F.explode(held).alias("reason"))
 
-def error_monitor(inbound: DataFrame, ledger: DataFrame, totals: DataFrame) -> DataFrame:
-    return (
-        unprocessed_orders(inbound, ledger)
-        .unionByName(empty_orders(totals))
-        .unionByName(damaged_orders(inbound))
+
+def document_facts(inbound: DataFrame) -> DataFrame:
+    """What one pass over the documents tells of every order, unusable ones included."""
+    paired = pair_lists(read_segments(listed_orders(inbound_scan(inbound), None)))
+    return paired.select(
+        "source_id", "company_code", "readable", "route", totals_in_place(paired).alias("totals")
+    ).select("source_id", "company_code", "readable", "route", "totals.*")
+
+
+def order_problems(orders: DataFrame) -> DataFrame:
+    """Reasons of processed orders, from the totals and flags that are kept with them."""
+    return _each_reason(orders, empty_reason(), *damage_reasons())
+
+
+def error_monitor(inbound: DataFrame, ledger: DataFrame) -> DataFrame:
+    """One row per order and reason, for staging rows and the ledger of what is done.
+
+    The documents are reduced to their reasons before the ledger join, so only
+    ids and reasons are shuffled.
+    """
+    told = document_facts(inbound).select(
+        "source_id",
+        "company_code",
+        unusable_reason().alias("unusable"),
+        F.when(F.col("route").isNotNull(), empty_reason()).alias("empty"),
+        F.array_compact(F.array(*damage_reasons())).alias("damage"),
+    )
+    done = settled(ledger, "details", ["Success"]).select(F.col("source_id").alias("done_id"))
+    joined = told.join(done, F.col("source_id") == F.col("done_id"), "left")
+    first = F.when(F.col("done_id").isNotNull(), F.col("empty")).otherwise(
+        F.coalesce("unusable", F.lit("details missing"))
     )
+    reasons = F.concat(F.array_compact(F.array(first)), "damage")
+    return joined.select("source_id", "company_code", F.explode(reasons).alias("reason"))

@@ -9,7 +9,7 @@ from orderloom.functions.bom import components, first_color, pack_style, pack_un
 from orderloom.functions.sizes import cut_suffix, plain_text, second_entry
 from orderloom.functions.texts import decimal_text_int, safe_int, scalar
 from orderloom.operators.attributes import is_pack
-from orderloom.operators.orders import HEADER_COLUMNS, header_key
+from orderloom.operators.orders import HEADER_COLUMNS, header_key, through_generator
 from orderloom.routes import PREPACK_ROUTES, by_route
 
 ROUTES = [route for routes in PREPACK_ROUTES.values() for route in routes]
@@ -17,9 +17,14 @@ PACK_COLUMNS = ["vendor_item_number", "gtin", "product_id", "buyer_part_number",
 
 
 def pack_lines(lines: DataFrame) -> DataFrame:
-    """Pack lines of the routes that report pre-packs, with their components."""
-    packs = lines.filter(F.col("route").isin(ROUTES) & is_pack())
-    return packs.withColumn("bom", components(F.col("bom_text")))
+    """Pack lines of the routes that report pre-packs, with their components.
+
+    The components are read once: what is no pack leaves through a generator.
+    """
+    routed = lines.filter(F.col("route").isin(ROUTES))
+    if "bom" in lines.columns:
+        return routed.filter(is_pack())
+    return through_generator(routed.withColumn("bom", components(F.col("bom_text"))), is_pack())
 
 
 def bom_gate(lines: DataFrame) -> DataFrame:

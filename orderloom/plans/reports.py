@@ -59,7 +59,7 @@ def order_totals(
     item = F.when(F.col("route") == "MS", F.col("sku")).otherwise(F.col("upc"))
     qty = F.when(got, F.col("qty"))
     copies = F.col("copies") if "copies" in allocations.columns else F.lit(1)
-    amount = F.col("unit_price") * qty
+    amount = F.col("unit_price") * qty * copies
     store = F.when(got, F.col("store_number"))
     return allocations.groupBy(*keys).agg(
         F.count_distinct(F.when(got, item)).cast("int").alias("total_items"),
@@ -151,6 +151,21 @@ def single_store_total(allocations: DataFrame) -> DataFrame:
     return store_report(allocations.filter("route = 'MS'"))
 
 
+def single_store_header(allocations: DataFrame, kept: Sequence[str]) -> DataFrame:
+    """One row per Maurices order: header columns, its store, its total and its lines."""
+    single = allocations.filter("route = 'MS'")
+    totals = single.groupBy(*kept, "division_store").agg(
+        F.sum("qty").alias("store_qty"), F.count_if("has_line").alias("line_rows")
+    )
+    return totals.select(
+        header_key("store").alias("header_id"),
+        *kept,
+        F.col("division_store").try_cast("int").alias("store_number"),
+        "store_qty",
+        "line_rows",
+    )
+
+
 def store_header(totals: DataFrame) -> DataFrame:
     return _header(
         totals,

@@ -13,8 +13,8 @@ WITH every AS (
       ELSE 'BELK' END AS company,
     CASE WHEN o_orderkey % 101 = 0 THEN '860' ELSE '850' END AS transaction_type,
     CASE WHEN o_orderkey % 103 = 0 THEN 'Failed' ELSE 'Downloaded' END AS status,
-    o_orderkey % 107 <> 0 AS well_formed,
-    CASE WHEN o_orderkey % 107 = 0 OR o_orderkey % 109 = 0 THEN NULL
+    o_orderkey % 107 <> 0 AND o_orderkey % 113 <> 0 AS well_formed,
+    CASE WHEN o_orderkey % 107 = 0 OR o_orderkey % 113 = 0 OR o_orderkey % 109 = 0 THEN NULL
       WHEN o_custkey % 4 = 0 THEN CASE o_orderkey % 4 WHEN 0 THEN 'KB' WHEN 1 THEN 'KS' ELSE 'KP' END
       WHEN o_custkey % 4 = 1 THEN CASE o_orderkey % 2 WHEN 0 THEN 'AK' ELSE 'AS' END
       WHEN o_custkey % 4 = 2 THEN 'MS'
@@ -95,13 +95,15 @@ line AS (
 ),
 slot AS (
   SELECT line.*, j.j AS j,
-    CASE WHEN line_no % 2 = 1 AND route IN ('KS', 'AK', 'BB', 'BS') THEN j.j // 2 ELSE 0 END
+    CASE WHEN line_no % 2 = 1 AND route IN ('KS', 'AK', 'BB', 'BS') AND j.j = 2 THEN 1 ELSE 0 END
       AS segment,
-    CASE WHEN line_no % 2 = 1 AND route IN ('KS', 'AK', 'BB', 'BS') AND j.j = 2 THEN 3
+    CASE WHEN j.j = 3 THEN 1000000003 WHEN j.j = 4 THEN 3
+      WHEN line_no % 2 = 1 AND route IN ('KS', 'AK', 'BB', 'BS') AND j.j = 2 THEN 3
       ELSE 3 + 2 * j.j END AS idx,
     lpad(CAST((s + 37 * j.j) % 200 AS VARCHAR), 4, '0') AS store_number,
     CASE WHEN (p + j.j) % 17 <> 0 THEN CAST((q + j.j) % 6 AS INTEGER) END AS qty
-  FROM line JOIN (VALUES (0), (1), (2)) AS j(j) ON j.j <= ln % 3
+  FROM line JOIN (VALUES (0), (1), (2), (3), (4)) AS j(j)
+    ON (j.j <= 2 AND j.j <= ln % 3) OR (j.j = 3 AND p % 23 = 0) OR (j.j = 4 AND p % 31 = 0)
   WHERE has_sdq
 ),
 alloc AS (
@@ -250,7 +252,7 @@ def strict(report: str, tail: str) -> str:
         + "AND a.segment = b.segment AND a.idx = b.idx "
         + f"AND (NOT a.{_where(by_line)} OR a.line_no = b.line_no) "
         + f"AND (NOT a.{_where(by_style)} OR a.style = b.style) "
-        + "WHERE a.route <> 'MS' AND b.qty > 0 "
+        + "WHERE a.route <> 'MS' AND b.qty > 0 AND a.j <= 2 AND b.j <= 2 "
         + "UNION ALL BY NAME SELECT *, division_store AS store_number, "
         + "CAST(q AS INTEGER) AS qty FROM line WHERE route = 'MS'"
         + (
@@ -259,6 +261,13 @@ def strict(report: str, tail: str) -> str:
             if report == "details"
             else ""
         )
+        + (
+            " UNION ALL BY NAME SELECT po.*, division_store AS store_number, "
+            "CAST(NULL AS INTEGER) AS qty FROM po WHERE route = 'MS' "
+            "AND k NOT IN (SELECT l_orderkey FROM numbered)"
+            if report == "store"
+            else ""
+        )
         + ") "
         + tail
     )

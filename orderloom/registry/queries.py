@@ -20,11 +20,17 @@ from orderloom.operators import ledger as ledger_ops
 from orderloom.operators import orders as order_ops
 from orderloom.operators import versions as version_ops
 from orderloom.operators.attributes import is_pack, line_attributes, pack_size_label
-from orderloom.plans import full_run, monitor, prepack, reports
-from orderloom.plans.prepare import CATALOGUE_ROUTES, attributed_lines, order_allocations
+from orderloom.plans import compaction, full_run, monitor, prepack, reports
+from orderloom.plans.prepare import (
+    CATALOGUE_ROUTES,
+    attributed_lines,
+    document_totals,
+    order_allocations,
+)
 from orderloom.registry import oracle
 from orderloom.routes import ALL_ROUTES, PREPACK_ROUTES
 from orderloom.sources import derived_orders as derived
+from orderloom.sources.staging import Staging
 from orderloom.sources.tables import ReportStore, read_inbound, shared_folder
 from orderloom.streaming import incremental
 
@@ -79,10 +85,14 @@ def _needed(spark: SparkSession, sf_dir: str, routes: list[str]) -> DataFrame |
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headers of all routed orders, without touching their lines."""
-    parsed = order_ops.parse_orders(order_ops.inbound_scan(_inbound(spark, sf_dir)))
-    return order_ops.header_fields(parsed).filter("route is not null").drop(
-        "readable", "details_text"
-    )
+    return order_ops.routed_headers(order_ops.inbound_scan(_inbound(spark, sf_dir)))
+
+
+def _stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headers as a table: versions read them twice, documents are parsed once."""
+    store = _store(spark, "headers")
+    store.write_report("orders", _orders(spark, sf_dir), "first")
+    return store.read_runs("orders", ["first"]).drop("run", "po_bucket")
 
 
 def _lines(spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES) -> DataFrame:
@@ -97,8 +107,16 @@ def _attributed(spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES
     return attributed_lines(_inbound(spark, sf_dir), _needed(spark, sf_dir, routes), routes)
 
 
-def _allocations(spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES) -> DataFrame:
-    return order_allocations(_inbound(spark, sf_dir), _needed(spark, sf_dir, routes), routes)
+def _allocations(
+    spark: SparkSession, sf_dir: str, routes: list[str] = ALL_ROUTES, pairing: str | None = None
+) -> DataFrame:
+    return order_allocations(
+        _inbound(spark, sf_dir), _needed(spark, sf_dir, routes), routes, pairing
+    )
+
+
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_totals(_inbound(spark, sf_dir))
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,8 +459,12 @@ def header_store(spark, sf_dir):
 
 
 @query(
-    "SELECT CASE p_partkey WHEN 4 THEN 'BELK' ELSE 'ARULA' END AS catalogue_company, "
-    "'CO' || p_partkey AS company_id FROM part WHERE p_partkey IN (1, 4)"
+    "SELECT catalogue_company, min(company_id) AS company_id FROM (SELECT "
+    "CASE WHEN p_partkey % 5 < 2 THEN 'BELK' WHEN p_partkey % 5 < 4 THEN 'ARULA' "
+    "ELSE upper(p_brand) END AS catalogue_company, "
+    "CASE WHEN p_partkey % 5 < 2 THEN 'CO4' WHEN p_partkey % 5 < 4 THEN 'CO1' ELSE 'CX' END "
+    "|| CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '-' || p_partkey END AS company_id FROM part) "
+    "GROUP BY catalogue_company"
 )
 def company_id_lookup(spark, sf_dir):
     return catalogue_ops.company_id_lookup(derived.catalogue_company(spark, sf_dir))
@@ -471,14 +493,14 @@ def catalogue_override(spark, sf_dir):
 
 @query(_sql("SELECT source_id, company, customer_po, arrival AS version FROM ver"))
 def arrival_version(spark, sf_dir):
-    return version_ops.arrival_version(_orders(spark, sf_dir)).select(
+    return version_ops.arrival_version(_stored_orders(spark, sf_dir)).select(
         "source_id", "company", "customer_po", "version"
     )
 
 
 @query(_sql("SELECT source_id, company, customer_po, version FROM ver"))
 def recalculate_versions(spark, sf_dir):
-    return version_ops.recalculate_versions(_orders(spark, sf_dir)).select(
+    return version_ops.recalculate_versions(_stored_orders(spark, sf_dir)).select(
         "source_id", "company", "customer_po", "version"
     )
 
@@ -490,7 +512,7 @@ def recalculate_versions(spark, sf_dir):
     )
 )
 def version_corrections(spark, sf_dir):
-    return version_ops.version_corrections(version_ops.arrival_version(_orders(spark, sf_dir)))
+    return version_ops.version_corrections(version_ops.arrival_version(_stored_orders(spark, sf_dir)))
 
 
 @query(
@@ -500,7 +522,7 @@ def version_corrections(spark, sf_dir):
     )
 )
 def inherit_version(spark, sf_dir):
-    headers = _orders(spark, sf_dir)
+    headers = _stored_orders(spark, sf_dir)
     versions = version_ops.recalculate_versions(headers)
     return reports.style_color_header(version_ops.inherit_version(headers, versions))
 
@@ -512,7 +534,7 @@ def inherit_version(spark, sf_dir):
     )
 )
 def latest_versions(spark, sf_dir):
-    numbered = version_ops.recalculate_versions(_orders(spark, sf_dir))
+    numbered = version_ops.recalculate_versions(_stored_orders(spark, sf_dir))
     return version_ops.latest_versions(
         numbered.select("source_id", "company", "customer_po", "version")
     )
@@ -536,7 +558,7 @@ _DETAILS_HEADER = (
 
 @query(oracle.totals(_DETAILS_HEADER))
 def details_totals(spark, sf_dir):
-    return reports.details_header(reports.order_totals(_allocations(spark, sf_dir)))
+    return reports.details_header(_totals(spark, sf_dir))
 
 
 @query(oracle.style_color())
@@ -558,12 +580,24 @@ def store_report(spark, sf_dir):
     )
 )
 def store_header(spark, sf_dir):
-    return reports.store_header(reports.order_totals(_allocations(spark, sf_dir)))
+    return reports.store_header(_totals(spark, sf_dir))
 
 
-@query(oracle.store(["MS"]))
+@query(
+    _sql(
+        ", total AS (SELECT po.source_id, CAST(sum(CAST(q AS INTEGER)) AS BIGINT) AS store_qty, "
+        "count(l_orderkey) AS line_rows FROM po LEFT JOIN numbered ON l_orderkey = k "
+        "WHERE route = 'MS' GROUP BY po.source_id) "
+        "SELECT 'store-' || source_id AS header_id, source_id, company, po_type, customer_po, "
+        "department, CAST(division_store AS INTEGER) AS store_number, store_qty, line_rows "
+        "FROM total JOIN po USING (source_id)"
+    )
+)
 def single_store_total(spark, sf_dir):
-    return reports.single_store_total(_allocations(spark, sf_dir, ["MS"]))
+    """The one store of a Maurices order beside its header, and the lines behind the sum."""
+    rows = _allocations(spark, sf_dir, ["MS"])
+    kept = ["source_id", "company", "po_type", "customer_po", "department"]
+    return reports.single_store_header(rows, kept)
 
 
 @query(oracle.style_color_size())
@@ -581,7 +615,7 @@ def style_color_size_report(spark, sf_dir):
     )
 )
 def order_amount_totals(spark, sf_dir):
-    return reports.style_color_size_header(reports.order_totals(_allocations(spark, sf_dir)))
+    return reports.style_color_size_header(_totals(spark, sf_dir))
 
 
 @query(oracle.prepack())
@@ -595,7 +629,7 @@ def prepack_summary(spark, sf_dir):
     )
 )
 def daily_log(spark, sf_dir):
-    return reports.daily_log(version_ops.recalculate_versions(_orders(spark, sf_dir)))
+    return reports.daily_log(version_ops.recalculate_versions(_stored_orders(spark, sf_dir)))
 
 
 @query(
@@ -610,6 +644,16 @@ def header_key(spark, sf_dir):
     )
 
 
+_DAMAGED = (
+    " UNION ALL SELECT source_id, company, 'bad line' FROM po WHERE k % 29 = 0 "
+    "AND (SELECT count(*) FROM numbered WHERE l_orderkey = k) > 1 "
+    "UNION ALL SELECT DISTINCT source_id, company, 'bad segment' FROM line WHERE has_sdq "
+    "AND line_no % 2 = 1 AND route IN ('KS', 'AK', 'BB', 'BS') AND s % 19 = 0 "
+    "UNION ALL SELECT DISTINCT source_id, company, 'repeated key' FROM line "
+    "WHERE has_sdq AND p % 31 = 0"
+)
+
+
 # Sinks, ledger, runs
 
 
@@ -688,10 +732,77 @@ def incremental_run(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
-def _staged_inbound(spark: SparkSession, sf_dir: str, store: ReportStore) -> DataFrame:
+@query(oracle.details())
+def pruned_pickup(spark, sf_dir):
+    """Three days of a staging table, each picked up alone, with a compaction in between."""
+    store = _store(spark, "pruned")
+    staging, catalogue = Staging(spark, f"{store.root}/inbound"), _catalogue(spark, sf_dir)
+    inbound = _staged_inbound(spark, sf_dir, store, "source")
+    for number in range(3):
+        day = f"2024-01-0{number + 1}"
+        staging.write(inbound.filter(f"id % 3 = {number}"), day)
+        if full_run.run_staged(store, staging, catalogue) != [day]:
+            raise ValueError(f"another day than {day} was read")
+        if number == 1:
+            compaction.compact(store)
+    return full_run.report_details(store, "details")
+
+
+@query(oracle.details())
+def reopened_orders(spark, sf_dir):
+    """Reported without the catalogue; then the orders that need it are done again."""
+    store = _store(spark, "reopened")
+    inbound = _staged_inbound(spark, sf_dir, store)
+    full_run.run_all_reports(store, inbound)
+    belk = full_run.current_orders(store).filter("route IN ('BB', 'BS')")
+    store.reopen(belk, ["details"])
+    full_run.run_all_reports(store, inbound, _catalogue(spark, sf_dir))
+    return full_run.report_details(store, "details")
+
+
+@query(
+    _sql(
+        ", pairs AS (SELECT source_id, count(*) AS n FROM alloc GROUP BY source_id) "
+        "SELECT source_id, company AS company_code, "
+        "CASE WHEN well_formed THEN 'no route' ELSE 'bad JSON' END AS reason "
+        "FROM received WHERE route IS NULL "
+        "UNION ALL SELECT source_id, company, CASE WHEN EXISTS (SELECT 1 FROM numbered "
+        "WHERE l_orderkey = k) THEN 'no valid pair' ELSE 'no lines' END "
+        "FROM po LEFT JOIN pairs USING (source_id) WHERE pairs.n IS NULL" + _DAMAGED
+    )
+)
+def order_problems(spark, sf_dir):
+    """The view over a store after a full run; the documents are not read for it."""
+    store = _store(spark, "problems")
+    full_run.run_all_reports(store, _staged_inbound(spark, sf_dir, store), _catalogue(spark, sf_dir))
+    full_run.create_views(store)
+    return spark.table("order_problems")
+
+
+@query(
+    oracle.strict(
+        "store",
+        ", summed AS (SELECT source_id, CAST(sum(qty) AS BIGINT) AS qty FROM paired "
+        "GROUP BY source_id) SELECT 'store-' || source_id AS header_id, "
+        + oracle.HEAD
+        + ", coalesce(qty, 0) AS order_qty_total, start_date, cancel_date AS complete_date, "
+        "department, version FROM ver LEFT JOIN summed USING (source_id)",
+    )
+)
+def original_pairing_run(spark, sf_dir):
+    """A full run by the original keys: header totals follow the report's own pairing."""
+    store = _store(spark, "original")
+    inbound, catalogue = _staged_inbound(spark, sf_dir, store), _catalogue(spark, sf_dir)
+    full_run.run_all_reports(store, inbound, catalogue, pairing="original")
+    return full_run.report_headers(store, "store")
+
+
+def _staged_inbound(
+    spark: SparkSession, sf_dir: str, store: ReportStore, name: str = "inbound"
+) -> DataFrame:
     """The staging table as files, as the pickups find it."""
-    _inbound(spark, sf_dir).write.parquet(f"{store.root}/inbound")
-    return read_inbound(spark, f"{store.root}/inbound")
+    _inbound(spark, sf_dir).write.parquet(f"{store.root}/{name}")
+    return read_inbound(spark, f"{store.root}/{name}")
 
 
 @query(
@@ -704,14 +815,11 @@ def _staged_inbound(spark: SparkSession, sf_dir: str, store: ReportStore) -> Dat
         "UNION ALL SELECT source_id, company, CASE WHEN lines.n IS NULL THEN 'no lines' "
         "ELSE 'no valid pair' END FROM po JOIN done ON id = source_id "
         "LEFT JOIN lines USING (source_id) LEFT JOIN pairs USING (source_id) "
-        "WHERE details AND pairs.n IS NULL"
+        "WHERE details AND pairs.n IS NULL" + _DAMAGED
     )
 )
 def error_monitor(spark, sf_dir):
-    ledger = _ledger(spark, sf_dir)
-    done = ledger.filter("report = 'details'").select("source_id")
-    totals = reports.order_totals(_allocations(spark, sf_dir)).join(done, "source_id", "left_semi")
-    return monitor.error_monitor(_inbound(spark, sf_dir), ledger, totals)
+    return monitor.error_monitor(_inbound(spark, sf_dir), _ledger(spark, sf_dir))
 
 
 # Strict pairing: the original joins' own keys
@@ -725,7 +833,7 @@ def error_monitor(spark, sf_dir):
     )
 )
 def strict_details_report(spark, sf_dir):
-    rows = reports.details_report(alloc_ops.strict_details(_attributed(spark, sf_dir)))
+    rows = reports.details_report(_allocations(spark, sf_dir, pairing="details"))
     keys = [c for c in rows.columns if c != "copies"]
     return rows.groupBy(*keys).agg(F.sum("copies").alias("copies"))
 
@@ -739,7 +847,7 @@ def strict_details_report(spark, sf_dir):
     )
 )
 def strict_store_report(spark, sf_dir):
-    return reports.store_report(alloc_ops.strict_sums(_attributed(spark, sf_dir), "store"))
+    return reports.store_report(_allocations(spark, sf_dir, pairing="store"))
 
 
 @query(
@@ -753,7 +861,7 @@ def strict_store_report(spark, sf_dir):
 )
 def strict_style_color_report(spark, sf_dir):
     return reports.style_color_report(
-        alloc_ops.strict_sums(_attributed(spark, sf_dir), "style_color")
+        _allocations(spark, sf_dir, pairing="style_color")
     )
 
 
@@ -768,7 +876,7 @@ def strict_style_color_report(spark, sf_dir):
 )
 def strict_style_color_size_report(spark, sf_dir):
     return reports.style_color_size_report(
-        alloc_ops.strict_sums(_attributed(spark, sf_dir), "style_color_size")
+        _allocations(spark, sf_dir, pairing="style_color_size")
     )
 
 

@@ -73,18 +73,21 @@ def _sdq(segmented: str) -> str:
     """Store allocations, one object or an array of two-store segments."""
     last = "l_linenumber % 3"
 
-    def slot(j: int, first: int) -> str:
+    def slot(j: int, first: int, width: int = 2, when: str = "") -> str:
         store = f"lpad(({SUPP} + {37 * j}) % 200, 4, '0')"
         qty = f"if(({PART} + {j}) % 17 = 0, 'x', cast((l_quantity + {j}) % 6 as string))"
-        members = _texts(**{f"SDQ{first:02d}": store, f"SDQ{first + 1:02d}": qty})
-        return f"if({last} >= {j}, concat({members}), null)"
+        members = _texts(**{f"SDQ{first:0{width}d}": store, f"SDQ{first + 1:0{width}d}": qty})
+        return f"if({when or f'{last} >= {j}'}, concat({members}), null)"
 
     head = f"""concat({_texts(SDQ01="'EA'", SDQ02="'92'")})"""
     unpaired = f"""if({PART} % 5 = 0, concat({_texts(SDQ23="'0999'")}), null)"""
-    flat = _object(head, slot(0, 3), slot(1, 5), slot(2, 7), unpaired)
-    first = _object(head, slot(0, 3), slot(1, 5), unpaired)
+    # Keys of many digits, and a second spelling of the first store's number.
+    odd = [slot(3, 1000000003, 2, f"{PART} % 23 = 0"), slot(4, 3, 1, f"{PART} % 31 = 0")]
+    flat = _object(head, slot(0, 3), slot(1, 5), slot(2, 7), *odd, unpaired)
+    first = _object(head, slot(0, 3), slot(1, 5), *odd, unpaired)
     second = f"if({last} >= 2, {_object(head, slot(2, 3))}, null)"
-    segments = f"concat('[', concat_ws(',', {first}, {second}), ']')"
+    no_segment = f"""if({SUPP} % 19 = 0, '"x"', null)"""
+    segments = f"concat('[', concat_ws(',', {first}, {second}, {no_segment}), ']')"
     return f"if({PART} % 13 <> 0, if({segmented}, {segments}, {flat}), null)"
 
 
@@ -148,7 +151,9 @@ def _line_document() -> str:
             f"""if({SUPP} % 2 = 0, concat('["x",', {vendor_size}, ']'), {vendor_size})""",
         ),
         _member("DestinationInfo", _object(_member("SDQ", _sdq(segmented)))),
-        f"if({packed}, {_member('BOMDetails', _bom())}, null)",
+        f"case when {packed} then {_member('BOMDetails', _bom())} "
+        # Text that only begins like an array is no pack.
+        f"""when {PART} % 17 = 3 then '"BOMDetails":"[none]"' end""",
     )
 
 
@@ -161,9 +166,11 @@ def _document() -> str:
         cases = " ".join(f"when {COMPANY} = {i} then {sql}" for i, sql in company.items())
         return f"case when {KEY} % 109 = 0 then 'ZZ' {cases} else 'NE' end"
 
+    # Behind the lines of some orders stands the text of an object, which is no line.
+    quoted = f"""if({KEY} % 29 = 0, ',"{{\\\\"GTIN\\\\":\\\\"Q\\\\"}}"', '')"""
     details = (
         "case when size(lines) = 1 then lines[0] "
-        "when size(lines) > 1 then concat('[', array_join(lines, ','), ']') end"
+        f"when size(lines) > 1 then concat('[', array_join(lines, ','), {quoted}, ']') end"
     )
     order = _texts(
         ReferencePOType=order_type({0: _pick(KOHLS_TYPES, f"{KEY} % 4"), 2: "'SO'"}),
@@ -184,7 +191,7 @@ def _document() -> str:
     inner = _object(f"concat({header})", _member("PurchaseOrder", body))
     return (
         f"""concat('{{"PurchaseOrderHeader":', {inner}, """
-        f"if({KEY} % 107 = 0, '', '}}'))"
+        f"if({KEY} % 107 = 0, '', '}}'), if({KEY} % 113 = 0, ' tail', ''))"
     )
 
 
@@ -193,7 +200,8 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One shuffle by order key serves line numbering, the join and the grouping.
     A few orders are deliberately unusable: other transaction types and
-    statuses, cut-off documents and an order type nobody handles.
+    statuses, cut-off documents, documents with text behind them and an order
+    type nobody handles. Some lines, segments and keys are not what they should be.
     """
     orders = _retail(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_custkey", "cast(o_orderdate as timestamp) as o_orderdate"
@@ -231,11 +239,17 @@ def _catalogued_parts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFr
 
 
 def catalogue_company(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two companies, with the ids the catalogue uses."""
-    numbers = _retail(spark, sf_dir, "part").filter(F.col("p_partkey").isin(1, 4))
-    return numbers.select(
-        F.when(F.col("p_partkey") == 4, "BELK").otherwise("ARULA").alias("company"),
-        F.concat(F.lit("CO"), "p_partkey").alias("company_id"),
+    """A name and an id for every part: names come in two spellings and with many ids.
+
+    The smallest ids of BELK and ARULA are those the catalogue uses.
+    """
+    kind = F.col("p_partkey") % 5
+    names = F.when(kind == 0, "BELK").when(kind == 1, "Belk").when(kind == 2, "ARULA")
+    ids = F.when(kind < 2, "CO4").when(kind < 4, "CO1").otherwise("CX")
+    suffix = F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.concat(F.lit("-"), "p_partkey"))
+    return _retail(spark, sf_dir, "part").select(
+        names.when(kind == 3, "Arula").otherwise(F.col("p_brand")).alias("company"),
+        F.concat(ids, suffix).alias("company_id"),
     )
 
 

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.operators.ledger import status_ledger
+from orderloom.operators.ledger import REPORTS, pending, settled, status_ledger
+from orderloom.sources.commits import Commit, CommitLog
+from orderloom.sources.notes import Folder
+
+# The ledger entry of the version corrections.
+VERSIONS = "versions"
+# Commits that reopen a report, beside those that settle it.
+AGAIN = "~again"
+NO_DAY = "unknown"
 
 INBOUND_SCHEMA = (
     "id bigint, json string, created timestamp, company_code string, "
@@ -36,77 +45,182 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def po_bucket(buckets: int) -> Column:
+    """Bucket of an order number, whose rows are looked up together."""
+    return F.pmod(F.xxhash64(F.upper("company"), F.upper("customer_po")), F.lit(buckets))
+
+
 class ReportStore:
     """Report tables under one folder, one partition per run.
 
-    A run's partition counts only once the ledger names the run for that
+    A run's partition counts only once the commit log names the run for that
     report, and writing it again replaces it, so a retry after a lost job
-    neither loses nor repeats rows.
+    neither loses nor repeats rows. Rows of reopened orders count only from the
+    run that did them last.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    #: Tables that are read by order number, and pruned by its bucket.
+    BUCKETED = ("orders", "corrections")
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.log = CommitLog(spark, self.root)
+        self._pinned: list[Commit] | None = None
+
+    # Commits
+
+    def commits(self) -> list[Commit]:
+        return self._pinned if self._pinned is not None else self.log.read()
+
+    @contextmanager
+    def pinned(self):
+        """List the commits once; what is committed inside is added to the list."""
+        outer = self._pinned
+        if outer is None:
+            self._pinned = self.log.read()
+        try:
+            yield
+        finally:
+            self._pinned = outer
 
-    def write_report(self, table: str, rows: DataFrame, run: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/run={run}")
-
-    def read_runs(self, table: str, runs: list[str]) -> DataFrame:
-        """The given runs of a table; other partitions are not even listed."""
-        paths = [f"{self.root}/{table}/run={run}" for run in runs]
-        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
-
-    def commit(self, report: str, source_ids: DataFrame, run: str) -> None:
-        entries = status_ledger(source_ids, report, run).drop("report", "run")
-        entries.write.mode("overwrite").parquet(f"{self.root}/ledger/report={report}/run={run}")
+    def runs(self, report: str) -> list[str]:
+        """Committed runs of a report, in the order of their commits."""
+        return [c.run for c in self.commits() if c.report == report]
 
-    def ledger(self) -> DataFrame | None:
-        """All committed entries, or None before the first commit.
+    def commit(self, report: str, source_ids: DataFrame, run: str, kind: str | None = None) -> None:
+        """Enter the ids in the ledger and make the run count.
 
-        Only the runs that ``runs`` names: what a stopped commit left behind
-        marks nothing as done.
+        The ids may bring a ``status`` and the ``arrival_day`` of their rows.
         """
-        folder = self._path("ledger")
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return None
-        reports = [e.getPath().getName().removeprefix("report=") for e in files.listStatus(folder)]
-        paths = [
-            f"{self.root}/ledger/report={report}/run={run}"
-            for report in reports
-            for run in self.runs(report)
+        seq = 1 + max([c.seq for c in self.commits()], default=0)
+        commit = self.write_ledger(source_ids, report, run, seq, kind)
+        self.log.add(commit)
+        if self._pinned is not None:
+            self._pinned.append(commit)
+
+    def write_ledger(
+        self, source_ids: DataFrame, report: str, run: str, seq: int, kind: str | None = None
+    ) -> Commit:
+        """Ledger entries of a commit that is still to be logged."""
+        entries = status_ledger(source_ids, report, run).drop("run").withColumn("seq", F.lit(seq))
+        day = F.col("arrival_day") if "arrival_day" in entries.columns else F.lit(None)
+        path = f"{self.root}/ledger/kind={kind or report}/run={run}"
+        entries.withColumn("arrival_day", F.coalesce(day, F.lit(NO_DAY))).hint(
+            "rebalance", F.col("arrival_day")
+        ).write.mode("overwrite").partitionBy("arrival_day").parquet(path)
+        names = [n for n, _ in Folder(self.spark, path).entries()]
+        days = [n.removeprefix("arrival_day=") for n in names if n.startswith("arrival_day=")]
+        return Commit(seq, kind or report, run, min(days, default=""), max(days, default=""))
+
+    # Ledger
+
+    def ledger(self, reports: list[str] | None = None, days: list[str] | None = None) -> DataFrame | None:
+        """Committed entries, of some reports and arrival days, or None when there are none.
+
+        Runs that hold none of the days are not even listed, other days of the
+        rest are pruned as partitions.
+        """
+        wanted = [
+            c
+            for c in self.commits()
+            if (reports is None or c.report.removesuffix(AGAIN) in reports)
+            and c.first_day
+            and c.meets(days)
         ]
-        if not paths:
+        if not wanted:
             return None
+        paths = [f"{self.root}/ledger/kind={c.report}/run={c.run}" for c in wanted]
         rows = self.spark.read.option("basePath", f"{self.root}/ledger").parquet(*paths)
-        return rows.withColumns(
-            {"report": F.col("report").cast("string"), "run": F.col("run").cast("string")}
+        rows = rows.withColumns({c: F.col(c).cast("string") for c in ("run", "arrival_day")})
+        return (rows if days is None else rows.filter(F.col("arrival_day").isin(days))).drop("kind")
+
+    def reopen(self, source_ids: DataFrame, reports: list[str], name: str | None = None) -> None:
+        """Make reports of some orders due again.
+
+        The details stand for everything: with them, all reports of the order
+        are done anew from its document. Other reports are built again from the
+        lines that are kept. Until then their old rows are not shown.
+        """
+        name = name or f"reopened-{uuid.uuid4().hex}"
+        if "details" in reports:
+            reports = [*REPORTS, VERSIONS]
+        ids = source_ids.select("source_id").distinct()
+        known = self.ledger(["details"])
+        if known is None:
+            return
+        dated = (
+            settled(known, "details")
+            .join(ids, "source_id", "left_semi")
+            .select("source_id", "arrival_day", F.lit("Reopened").alias("status"))
         )
+        # The details last: their pickup must find the reports already open.
+        for report in reversed(reports):
+            self.commit(report, dated, name, kind=report + AGAIN)
 
-    def runs(self, report: str) -> list[str]:
-        """Committed runs of a report: one entry per run, read from folder names."""
-        folder = self._path(f"ledger/report={report}")
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            return []
-        found = []
-        for entry in files.listStatus(folder):
-            done = self.spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-            if files.exists(done):
-                found.append(entry.getPath().getName().removeprefix("run="))
-        return sorted(found)
+    def reopened(self, report: str) -> DataFrame | None:
+        """Ids that were ever reopened for a report, with the run that did them last.
 
-    def read(self, table: str, report: str | None = None) -> DataFrame | None:
-        """All committed rows of a table, or None when there are none."""
-        runs = self.runs(report or table)
-        return self.read_runs(table, runs) if runs else None
+        The run is NULL while they are due. None when nothing was reopened.
+        """
+        if not self.runs(report + AGAIN):
+            return None
+        entries = self.ledger([report])
+        again = entries.filter("status = 'Reopened'").select("source_id").distinct()
+        done = settled(entries, report).groupBy("source_id").agg(F.max_by("run", "seq").alias("done_run"))
+        return again.join(done, "source_id", "left")
+
+    def reopened_days(self) -> list[str]:
+        """Arrival days of orders whose details are due again; at most one value a day."""
+        if not self.runs("details" + AGAIN):
+            return []
+        entries = self.ledger(["details"])
+        again = entries.filter("status = 'Reopened'").select("source_id", "arrival_day").distinct()
+        due = pending(again, entries, "details", key="source_id")
+        return sorted(r[0] for r in due.select("arrival_day").distinct().collect())
+
+    # Tables
+
+    def write_report(
+        self, table: str, rows: DataFrame, run: str, part_by: str | None = None
+    ) -> None:
+        """Replace a run's rows; ``part_by`` names a column of few values to split them by."""
+        path = f"{self.root}/{table}/run={run}"
+        if table not in self.BUCKETED:
+            rows.write.mode("overwrite").parquet(path, partitionBy=part_by)
+            return
+        bucketed = rows.withColumn("po_bucket", po_bucket(self.buckets)).hint(
+            "rebalance", F.col("po_bucket")
+        )
+        bucketed.write.mode("overwrite").partitionBy("po_bucket").parquet(path)
+        if not any(n.startswith("po_bucket=") for n, _ in Folder(self.spark, path).entries()):
+            # A partitioned write of nothing leaves no file to read the columns from.
+            rows.limit(0).write.parquet(f"{path}/po_bucket=0")
 
-    def has(self, table: str) -> bool:
-        return self._exists(table)
+    def write_part(self, table: str, rows: DataFrame, run: str, part: str) -> None:
+        """Replace one part of a run, such as ``part=looked``."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/run={run}/{part}")
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+    def read_runs(self, table: str, runs: list[str]) -> DataFrame:
+        """The given runs of a table; other partitions are not even listed."""
+        paths = [f"{self.root}/{table}/run={run}" for run in runs]
+        rows = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
+        return rows.withColumn("run", F.col("run").cast("string"))
 
-    def _exists(self, name: str) -> bool:
-        path = self._path(name)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def read(self, table: str, report: str | None = None) -> DataFrame | None:
+        """All rows of a table that count, or None when there are none."""
+        report = report or table
+        runs = self.runs(report)
+        if not runs:
+            return None
+        rows, again = self.read_runs(table, runs), self.reopened(report)
+        if again is None:
+            return rows
+        # Few ids are ever reopened; the planner sees how few.
+        told = again.withColumn("again", F.lit(True))
+        return (
+            rows.join(told, "source_id", "left")
+            .filter(F.col("again").isNull() | (F.col("run") == F.col("done_run")))
+            .select(*rows.columns)
+        )

@@ -12,12 +12,10 @@ from orderloom.operators.allocations import (
     sdq_fields,
     sdq_pairs,
     sdq_segments,
-    strict_details,
-    strict_sums,
 )
 from orderloom.operators.orders import order_lines
 from orderloom.plans import reports
-from orderloom.plans.prepare import attributed_lines, order_allocations
+from orderloom.plans.prepare import attributed_lines, document_totals, order_allocations
 
 PAIR = {"SDQ01": "EA", "SDQ02": "92", "SDQ03": "0045", "SDQ04": "5", "SDQ05": "0046", "SDQ06": "0"}
 
@@ -151,14 +149,15 @@ def test_strict_pairing_matches_brute_force(inbound):
         line(LineItemId="3", GTIN="G2", sdq={"SDQ03": "0005", "SDQ04": "1"}),
         line(LineItemId="4", sdq={"SDQ03": "0001", "SDQ04": "2"}),
     ]
-    attributed = attributed_lines(inbound(order(lines)))
+    staged = inbound(order(lines))
     expected = brute_strict(lines, ["upc", "style"])
-    got = rows(strict_details(attributed), "store_number", "qty", "copies")
+    strict = order_allocations(staged, pairing="details").filter("allocated")
+    got = rows(strict, "store_number", "qty", "copies")
     assert sorted((s, q) for s, q, n in got for _ in range(n)) == sorted(expected)
     per_store = {}
     for store, qty in brute_strict(lines, ["upc"]):
         per_store[int(store)] = per_store.get(int(store), 0) + qty
-    report = reports.store_report(strict_sums(attributed, "store"))
+    report = reports.store_report(order_allocations(staged, pairing="store"))
     assert rows(report, "store_number", "store_qty") == sorted(per_store.items())
     default = reports.store_report(order_allocations(inbound(order(lines))))
     assert rows(default, "store_number", "store_qty") == [(1, 4), (3, 4), (4, 6), (5, 1)]
@@ -166,11 +165,11 @@ def test_strict_pairing_matches_brute_force(inbound):
 
 def test_strict_drops_arrays_and_missing_codes(inbound):
     lines = [line(sdq=[PAIR]), line(sdq=PAIR, GTIN=None), line(sdq=PAIR)]
-    attributed = attributed_lines(inbound(order(lines), order(lines, kind="PACK BY STORE")))
-    assert rows(strict_details(attributed), "source_id", "store_number", "qty") == [
-        (1, "0045", 5), (2, "0045", 5), (2, "0045", 5),
+    staged = inbound(order(lines), order(lines, kind="PACK BY STORE"))
+    strict = order_allocations(staged, pairing="details").filter("allocated")
+    assert rows(strict, "source_id", "store_number", "qty", "copies") == [
+        (1, "0045", 5, 1), (2, "0045", 5, 2), (2, "0045", 5, 2),
     ]
-    assert strict_details(attributed).filter("source_id = 1").collect()[0].copies == 1
 
 
 def test_stores_survive_without_a_join(inbound):
@@ -179,6 +178,69 @@ def test_stores_survive_without_a_join(inbound):
     assert "Join" not in plan and "Exchange" not in plan
 
 
+def test_original_pairing_reads_once_and_shuffles_nothing(inbound):
+    staged = inbound(order([line(sdq=PAIR)]), order(None, "Maurices", "SO"))
+    for report in ("details", "store", "style_color", "style_color_size"):
+        rows_ = order_allocations(staged, pairing=report)
+        plan = rows_._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and plan.count("Scan") == 1
+    store = reports.store_report(order_allocations(staged, pairing="store"))
+    assert rows(store, "source_id", "store_number", "store_qty") == [(1, 45, 5), (2, 45, None)]
+
+
+def test_repeated_lines_count_as_copies(inbound):
+    lines = [line(LineItemId="1", sdq={"SDQ03": "0001", "SDQ04": "2"}) for _ in range(3)]
+    staged = inbound(order(lines, kind="PACK BY STORE"))
+    strict = order_allocations(staged, pairing="details").filter("allocated")
+    assert rows(strict, "store_number", "qty", "copies") == [("0001", 2, 3)] * 3
+    assert rows(document_totals(staged, pairing="details"), "total_qty", "allocated_rows") == [(18, 3)]
+
+
+@pytest.mark.parametrize("pairing", [None, "details", "store"])
+def test_totals_in_place_agree_with_an_aggregation(spark, inbound, pairing):
+    lines = [
+        line(sdq=PAIR),
+        line(sdq={"SDQ03": "X", "SDQ04": "4", "SDQ3": "8", "SDQ4": "1"}, UnitPrice="n/a"),
+        line(ProductId="P2", GTIN="G2"),
+        line(sdq=[PAIR, {"SDQ03": "7", "SDQ04": "x"}], GTIN=None),
+        line(sdq="[none]"),
+    ]
+    staged = inbound(
+        *[order(some, c, k, t) for some in (lines, lines[:1], [], None)
+          for c, k, t in (("Kohls", "BULK", "NE"), ("ARULA", "NE", "KN"), ("Maurices", "SO", "NE"))]
+    )
+    columns = ["source_id", "total_items", "total_qty", "total_amount", "line_rows",
+               "allocated_rows", "bad_stores"]
+    totals = document_totals(staged, pairing=pairing)
+    assert "Exchange" not in totals._jdf.queryExecution().executedPlan().toString()
+    expected = reports.order_totals(order_allocations(staged, pairing=pairing))
+    # Rows of unnested lines that have several stores count several times there.
+    counted = [c for c in columns if c != "line_rows"]
+    assert rows(totals, *counted) == rows(expected, *counted)
+    assert {r.line_rows for r in totals.collect()} == {5, 1, 0}
+
+
+def test_two_spellings_of_a_number_keep_their_own_quantity(spark):
+    from orderloom.functions.sdq import pairs, repeated_numbers, segments
+
+    texts = [
+        '{"SDQ3":"11","SDQ4":"9","SDQ03":"12","SDQ04":"8"}',
+        '{"SDQ03":"12","SDQ4":"8"}',
+        '{"SDQ1000000003":"1","SDQ1000000004":"5"}',
+        '{"SDQ99999999999999999999":"1","SDQ100000000000000000000":"6"}',
+        '{"SDQ0000000000000000000000000000000000000000000000003":"1","SDQ4":"7"}',
+        '{"SDQ1299999999999":"1","SDQ1300000000000":"3","SDQ00":"9","SDQ2":"8"}',
+    ]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    maps = segments(F.col("text"))
+    found = frame.select("i", pairs(maps).alias("p"), repeated_numbers(maps).alias("twice")).orderBy("i")
+    got = [([(p["store_number"], p["qty"]) for p in r.p], r.twice) for r in found.collect()]
+    assert got == [
+        ([("11", 9), ("12", 8)], True), ([("12", 8)], False), ([("1", 5)], False),
+        ([("1", 6)], False), ([("1", 7)], False), ([("1", 3)], False),
+    ]
+
+
 def test_stores_pair_by_number_whatever_the_digits(spark, inbound):
     from orderloom.functions.sdq import pairs, positive_pairs, segments
 

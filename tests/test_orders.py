@@ -1,5 +1,6 @@
 """Routing, header fields and line shapes, on literal documents."""
 
+import json
 from datetime import date
 
 import pytest
@@ -7,12 +8,14 @@ from conftest import line, order, rows
 from pyspark.sql import functions as F
 
 from orderloom.functions.texts import compact_date, decimal_text_int, safe_decimal, safe_int, scalar
+from orderloom.operators.attributes import is_pack, line_attributes
 from orderloom.operators.orders import (
     header_fields,
     headers,
     inbound_scan,
     order_lines,
     parse_orders,
+    routed_headers,
     valid_json,
 )
 from orderloom.plans import monitor
@@ -48,11 +51,16 @@ def test_scan_keeps_downloaded_purchase_orders(inbound):
 
 
 def test_unreadable_documents_do_not_route(inbound):
-    staged = inbound(order([line()]), '{"PurchaseOrderHeader": {', "not json", "[1, 2]", "")
-    assert rows(valid_json(staged), "id") == [(1,), (4,)]
+    good = json.dumps(order([line()]))
+    staged = inbound(
+        order([line()]), '{"PurchaseOrderHeader": {', "not json", "[1, 2]", "",
+        good + " garbage", good + good, f"{good},{good}", good + "]", good + "}", "\n " + good + " \t\n",
+        good + '],"end":1} x', '"text"', "null", "5",
+    )
+    assert rows(valid_json(staged), "id") == [(1,), (11,), (4,)]
     parsed = parse_orders(staged)
-    assert rows(parsed.filter("route is not null"), "source_id") == [(1,)]
-    assert rows(parsed.filter("readable"), "source_id") == [(1,)]
+    assert rows(parsed.filter("route is not null"), "source_id") == [(1,), (11,)]
+    assert rows(parsed.filter("readable"), "source_id") == [(1,), (11,)]
 
 
 def test_header_types_and_dates(inbound):
@@ -110,10 +118,40 @@ def test_field_values_keep_their_text(inbound):
 
 
 def test_one_parse_per_document(inbound):
-    plan = order_lines(inbound_scan(inbound(order([line()]))))._jdf.queryExecution().toString()
-    physical = plan[plan.index("== Physical Plan ==") :]
-    assert physical.count("from_json(StructField(PurchaseOrderHeader") == 1
-    assert physical.count("from_json(ArrayType(StructType(StructField(LineItemId") == 1
+    """Documents are parsed once and lines once, and again only if an element is no object."""
+    from pyspark.sql import functions as F
+
+    from orderloom.operators import allocations
+    from orderloom.plans import prepack, reports
+    from orderloom.plans.prepare import attributed_lines, document_totals
+    from orderloom.routes import ALL_ROUTES
+
+    staged = inbound(order([line()]))
+    scanned = inbound_scan(staged)
+    lines, heads = order_lines(scanned), routed_headers(scanned)
+    allocated = order_allocations(staged)
+    frames = {
+        "valid_json": (valid_json(staged), 1, 0),
+        "lines": (lines, 1, 1),
+        "some lines": (lines.filter("has_line and route = 'KB'"), 1, 1),
+        "headers": (heads.filter("route is not null"), 1, 0),
+        "first lines": (headers(lines), 1, 1),
+        "without sdq": (allocations.lines_without_sdq(lines), 1, 1),
+        "segments": (allocations.sdq_segments(lines), 1, 1),
+        "details": (reports.details_report(allocated), 1, 1),
+        "store": (reports.store_report(allocated), 1, 1),
+        "single store": (reports.single_store_total(allocated), 1, 1),
+        "totals": (document_totals(staged).filter("total_qty > 0"), 1, 1),
+        "attributes": (attributed_lines(staged, routes=ALL_ROUTES).filter("route = 'BB'"), 1, 1),
+        "packs": (prepack.prepack_summary(lines), 1, 1),
+        "gate": (prepack.bom_gate(lines), 1, 1),
+        "monitor": (monitor.document_facts(staged).filter("route is null"), 1, 1),
+    }
+    for name, (frame, documents, lists) in frames.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(StructField(d,") == documents, name
+        # The two readings of a list stand in one coalesce.
+        assert plan.count("from_json(ArrayType(StructType(StructField(LineItemId") == 2 * lists, name
 
 
 def test_numbers_from_text(spark):
@@ -167,6 +205,27 @@ def test_a_bad_line_or_segment_goes_alone(spark, inbound):
     assert rows(headers(lines), "source_id") == [(1,), (2,), (3,)]
     got = order_allocations(staged).filter("allocated")
     assert rows(got, "source_id", "store_number", "qty") == [(1, "1", 2), (1, "7", 5), (1, "8", 6), (2, "1", 2)]
-    assert rows(monitor.damaged_orders(staged), "source_id", "reason") == [
-        (1, "bad line"), (1, "bad segment"), (3, "bad line"),
+    facts = monitor.document_facts(staged)
+    assert rows(monitor.order_problems(facts), "source_id", "reason") == [
+        (1, "bad line"), (1, "bad segment"), (3, "bad line"), (3, "no lines"),
+    ]
+
+
+def test_quoted_documents_and_brackets_are_no_lines_or_packs(inbound):
+    quoted = json.dumps(line(GTIN="Q"))
+    staged = inbound(
+        order([line(LineItemId="1"), quoted, line(LineItemId="2", sdq="[none]", bom="[none]")]),
+        order("[none]"),
+        order([quoted]),
+        order([line(bom=[], GTIN="E"), line(bom=["x", {"Quantity": "3"}], GTIN="P")], "BELK", "NE", "BK"),
+    )
+    lines = order_lines(inbound_scan(staged))
+    found = lines.filter("has_line")
+    assert rows(found.filter("source_id < 4"), "source_id", "line_item_id") == [(1, "1"), (1, "2")]
+    assert rows(headers(lines), "source_id") == [(1,), (2,), (3,), (4,)]
+    packs = line_attributes(found).select("gtin", is_pack().alias("pack"), "style")
+    assert rows(packs) == [
+        ("E", True, None), ("G1", False, "A1234"), ("G1", False, "A1234"), ("P", True, "A1234 P3"),
     ]
+    kept = order_allocations(staged).filter("allocated and source_id < 4")
+    assert rows(kept, "source_id", "store_number") == [(1, None), (1, None)]

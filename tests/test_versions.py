@@ -3,8 +3,10 @@
 from datetime import datetime, timedelta
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from orderloom.operators.versions import (
+    _keyed,
     arrival_version,
     inherit_version,
     latest_versions,
@@ -55,8 +57,47 @@ def test_versions_follow_the_source_id(spark):
     assert rows(inherit_version(frame, versions)) == [(1, 7), (2, None)]
 
 
-def test_no_window_spans_an_order_number(spark):
+def test_rows_are_ranked_by_time_and_block_alone(spark):
     _, frame = headers(spark)
     plan = recalculate_versions(frame)._jdf.queryExecution().optimizedPlan().toString()
     ranked = [text for text in plan.splitlines() if "row_number" in text and "Window" in text]
-    assert ranked and all("po_hour" in text for text in ranked)
+    assert ranked and all("t_micro" in text and "t_block" in text for text in ranked)
+    assert "Window" not in "".join(
+        text for text in arrival_version(frame)._jdf.queryExecution().optimizedPlan().toString()
+        .splitlines() if "row_number" in text or "rank" in text
+    )
+
+
+def test_one_order_sent_100000_times_in_a_second(spark):
+    """Half of them at one time; no task reads more than its share of rows."""
+    frame = spark.range(100_000, numPartitions=8).selectExpr(
+        "id * 7 % 100000 AS source_id", "if(id < 0, '', 'BELK') AS company",
+        "if(id < 0, '', 'PO1') AS customer_po",
+        "timestamp_micros(1700000000000000 + if(id * 7 % 100000 % 2 = 0, 0, id * 7 % 100000)) AS downloaded_at",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        keyed = _keyed(frame)
+        sizes = keyed.groupBy("po_number", "t_second", "t_micro", "t_block").count().agg({"count": "max"})
+        assert sizes.first()[0] <= 512
+        for numbered, name in ((recalculate_versions(frame), "exact"), (arrival_version(frame), "shared")):
+            share = numbered.groupBy(F.spark_partition_id()).count().agg({"count": "max"}).first()[0]
+            assert share < 100_000 / 8 * 3, name
+            assert "ReusedExchange" in numbered._jdf.queryExecution().executedPlan().toString()
+            got = numbered.agg(F.min("version"), F.max("version"), F.count_distinct("version")).first()
+            assert tuple(got) == ((1, 100_000, 100_000) if name == "exact" else (1, 100_000, 50_001))
+        order = [r[0] for r in recalculate_versions(frame).orderBy("version").select("source_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert order == [*range(0, 100_000, 2), *range(1, 100_000, 2)]
+
+
+def test_rows_without_time_or_company_come_first(spark):
+    rows_ = [(1, None, "PO1", None), (2, None, "PO1", datetime(2024, 1, 1)), (3, None, "PO1", None)]
+    frame = spark.createDataFrame(rows_, SCHEMA)
+    assert dict(rows(recalculate_versions(frame), "source_id", "version")) == {1: 1, 3: 2, 2: 3}
+    assert dict(rows(arrival_version(frame), "source_id", "version")) == {1: 1, 3: 1, 2: 3}
