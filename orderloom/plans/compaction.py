@@ -57,7 +57,8 @@ def compact(store: ReportStore) -> str | None:
         kept = [c for c in commits if c.run not in moved]
         store.log.merge([*kept, *merged])
     for run in moved:
-        for table in TABLES:
+        # The numbering of a run is used up when its versions are committed.
+        for table in [*TABLES, "numbered"]:
             Folder(store.spark, f"{store.root}/{table}").delete(f"run={run}")
         for report in reports:
             for kind in (report, report + AGAIN):

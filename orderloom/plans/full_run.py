@@ -24,8 +24,8 @@ from orderloom.operators.catalogue import catalogue_override, looks_up
 from orderloom.operators.ledger import DOWNSTREAM, pending, pick_pending
 from orderloom.operators.orders import HEADER_COLUMNS, headers, inbound_scan, listed_orders
 from orderloom.operators.orders import unnest_lines
-from orderloom.operators.versions import PO_KEY, arrival_version, inherit_version
-from orderloom.operators.versions import latest_versions, version_corrections
+from orderloom.operators.versions import PO_KEY, inherit_version, latest_versions
+from orderloom.operators.versions import recalculate_versions
 from orderloom.plans import monitor, prepack, reports
 from orderloom.sources.staging import DAY, FinishedDays, Staging
 from orderloom.sources.tables import VERSIONS, ReportStore, po_bucket
@@ -99,6 +99,7 @@ def run_all_reports(
     """
     with store.pinned():
         run = run or new_run()
+        finish_versions(store)
         if inbound is not None and run not in store.runs("details"):
             scanned = inbound_scan(inbound)
             due = pick_pending(scanned, store.ledger(["details"], days), "details")
@@ -107,19 +108,25 @@ def run_all_reports(
         later_phases(store)
 
 
+def _waiting(store: ReportStore, report: str) -> list[str]:
+    done = set(store.runs(report))
+    return [run for run in store.runs("details") if run not in done]
+
+
+def finish_versions(store: ReportStore) -> None:
+    """Corrections that committed details still lack; before any further numbering."""
+    for run in _waiting(store, VERSIONS):
+        _versions_phase(store, run)
+
+
 def later_phases(store: ReportStore) -> None:
     """What committed details still lack, and what was reopened."""
-    details = store.runs("details")
-    for report in [VERSIONS, *DOWNSTREAM]:
-        done = set(store.runs(report))
-        for waiting in [r for r in details if r not in done]:
-            if report == VERSIONS:
-                _versions_phase(store, waiting)
-            else:
-                lines = staged_lines(store, [waiting]).filter("reason IS NULL")
-                _downstream(store, report, lines, waiting)
-        if report != VERSIONS:
-            _build_again(store, report)
+    finish_versions(store)
+    for report in DOWNSTREAM:
+        for run in _waiting(store, report):
+            lines = staged_lines(store, [run]).filter("reason IS NULL")
+            _downstream(store, report, lines, run)
+        _build_again(store, report)
 
 
 def details_phase(
@@ -145,9 +152,10 @@ def details_phase(
     store.write_report("unusable", unusable, run)
     heads = usable.filter("line_pos = 0")
     totals = [c for c in lines.columns if c.endswith("totals")]
+    store.write_report("numbered", _numbered(store, headers(usable)), run)
     numbered = inherit_version(
         heads.select(*HEADER_COLUMNS, "company_code", DAY, *totals),
-        _arrival_versions(store, headers(usable)),
+        store.read_runs("numbered", [run]).filter("stored IS NULL"),
     )
     store.write_report("orders", numbered.select("*", "totals.*").drop("totals"), run)
     settled = (
@@ -227,30 +235,33 @@ def _touched(rows: DataFrame, new: DataFrame) -> DataFrame:
     return rows.select("*", *keyed).join(renamed, same, "left_semi").drop(*PO_KEY)
 
 
-def _arrival_versions(store: ReportStore, new: DataFrame) -> DataFrame:
-    """Versions of the new orders, counted against everything received before."""
+def _numbered(store: ReportStore, new: DataFrame) -> DataFrame:
+    """Versions of all rows of the new orders' numbers, beside the one stored so far.
+
+    Numbered once for both uses: new orders get their version, earlier ones
+    their corrections.
+    """
     columns = ["source_id", "company", "customer_po", "downloaded_at"]
-    new = new.select(*columns)
-    earlier = store.read("orders", "details")
-    if earlier is None:
-        return arrival_version(new)
-    seen = _in_buckets(earlier, new, store.buckets).select(*columns)
-    return arrival_version(new.unionByName(_touched(seen, new)))
+    seen = new.select(*columns, F.lit(None).cast("int").alias("stored"))
+    if store.runs("details"):
+        earlier = current_orders(store, touching=new)
+        touched = _touched(earlier.select(*columns, F.col("version").alias("stored")), new)
+        seen = seen.unionByName(touched)
+    return recalculate_versions(seen).drop("downloaded_at")
 
 
 def _versions_phase(store: ReportStore, run: str) -> None:
     """Log corrections for the order numbers this run touched."""
-    new = store.read_runs("orders", [run])
-    touched = _touched(current_orders(store, touching=new), new)
-    corrections = version_corrections(touched).select(
+    numbered = store.read_runs("numbered", [run]).drop("run")
+    corrections = numbered.filter("stored <> version").select(
         "source_id",
         "company",
         "customer_po",
-        F.col("correct_version").alias("version"),
+        "version",
         F.current_timestamp().alias("corrected_at"),
     )
     store.write_report("corrections", corrections, run)
-    store.commit(VERSIONS, new.select("source_id", DAY), run)
+    store.commit(VERSIONS, store.read_runs("orders", [run]).select("source_id", DAY), run)
 
 
 def _downstream(store: ReportStore, report: str, lines: DataFrame, run: str) -> None:

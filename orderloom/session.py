@@ -12,6 +12,8 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Tables are split by a few values; writers side by side need no sort for that.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     # Plans are built from many column calls; none needs the line it was written on.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -57,12 +57,15 @@ class ReportStore:
     report, and writing it again replaces it, so a retry after a lost job
     neither loses nor repeats rows. Rows of reopened orders count only from the
     run that did them last.
+
+    ``buckets`` divides the order numbers: a run reads the buckets it touches of
+    the history, and writes a file for each. It stays the same for a store.
     """
 
     #: Tables that are read by order number, and pruned by its bucket.
     BUCKETED = ("orders", "corrections")
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets

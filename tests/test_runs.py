@@ -23,9 +23,19 @@ def sent(day, **more):
     return (order([line(sdq=SDQ)], **more), START + timedelta(days=day))
 
 
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(spark):
+    """Compiling the plans takes far longer than these few rows."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
 @pytest.fixture
 def store(spark, tmp_path):
-    return ReportStore(spark, str(tmp_path / "store"))
+    return ReportStore(spark, str(tmp_path / "store"), buckets=4)
 
 
 def counts(store):
@@ -294,8 +304,8 @@ def test_small_runs_read_their_buckets_of_the_history(spark, inbound, store):
     assert scans and all("po_bucket" in text.split("PartitionFilters")[1] for text in scans if "PartitionFilters" in text)
     touched = full_run.current_orders(store, touching=new)
     assert "PO7" in [r.customer_po for r in touched.collect()] and touched.count() < 20
-    numbered = full_run._arrival_versions(store, new).filter("source_id = 99")
-    assert rows(numbered, "version") == [(2,)]
+    numbered = full_run._numbered(store, new)
+    assert rows(numbered, "source_id", "stored", "version") == [(8, 1, 1), (99, None, 2)]
 
 
 def test_only_looked_up_lines_enter_the_catalogue_join(spark, inbound, store):
