@@ -106,5 +106,10 @@ def link_rounds(
         postings = scratch.store(
             f"postings-{step}", live.select("token", "c", "n").join(met, ["token", "c"], "left_anti")
         )
+        used = [f"{name}-{step}" for name in ("live", "pivots", "pairs", "links")]
+        if step:
+            used += [f"labels-{step - 1}", f"postings-{step - 1}"]
+        edges = [name for name in scratch.paths if name.startswith(f"round-{step}-edges-")]
+        scratch.drop(*used, *edges)
         step += 1
     return labels

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.components import link_rounds
-from orderloom.llm.scratch import Scratch
+from orderloom.llm.scratch import Scratch, free_name
 from orderloom.llm.words import Words, chunks, mix, rolling, text_marks
 
 #: Words in a shingle; similarity in percent.
@@ -99,7 +99,7 @@ def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("c"),
-                pa.array([values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values)),
             ],
             ["c", "tokens"],
         )
@@ -177,7 +177,7 @@ def _probe_trie(rows: pd.DataFrame) -> pd.DataFrame:
     """Links of one pivot with one block of sets."""
     trie, probe = Trie(), None
     for c, is_probe, tokens in zip(rows["c"], rows["is_probe"], rows["tokens"]):
-        values = np.frombuffer(tokens, dtype=np.int64)
+        values = np.asarray(tokens, dtype=np.int64)
         if is_probe:
             probe = values
         else:
@@ -203,28 +203,75 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _candidates(scratch: Scratch, sets: DataFrame) -> DataFrame:
-    """Postings (token, c, n) through which all linked classes meet."""
+    """Classes (c) whose prefix has enough tokens that other classes have in theirs."""
     tokens = sets.select("c", "n", F.explode("prefix").alias("token"))
     shared = scratch.store(
         "shared",
         tokens.groupBy("token")
-        .agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("df"))
+        .agg(F.min("c").alias("low"), F.max("c").alias("high"))
         .filter("low <> high")
-        .select("token", "df"),
+        .select("token"),
     )
     least = F.floor(F.ceil(F.col("n") * PERCENT / 100) / 10) + 1
-    held = (
-        tokens.join(shared, "token")
+    held = tokens.join(shared, "token").groupBy("c", "n").agg(F.count_distinct("token").alias("held"))
+    alive = scratch.store("alive", held.filter(F.col("held") >= least).select("c").distinct())
+    scratch.drop("shared")
+    return alive
+
+
+def _postings(scratch: Scratch, whole: DataFrame) -> DataFrame:
+    """(token, c, n) of the rarest tokens of each set, as many as any link must meet.
+
+    Ordered by how many candidates have them, the first n - 0.8 n + 1 tokens of
+    two sets that link have one in common. A passage of many texts stands at the
+    end of that order, so it brings no pairs together.
+    """
+    tokens = whole.select("c", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("token"))
+    spread = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    ordered = (
+        tokens.join(spread, "token")
         .groupBy("c", "n")
-        .agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("held"))
-        .filter(F.size("held") >= least)
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ordered"))
     )
-    kept = F.slice("held", F.lit(1), (F.size("held") - least + 1).cast("int"))
+    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    first = F.slice("ordered", F.lit(1), length.cast("int"))
+    met = F.filter(first, lambda t: t["df"] > 1)
     return scratch.store(
-        "postings", held.select("c", "n", F.explode(kept).alias("t")).select("t.token", "c", "n")
+        "postings", ordered.select("c", "n", F.explode(met).alias("t")).select("t.token", "c", "n")
     )
 
 
+def _covered(scratch: Scratch, whole: DataFrame) -> DataFrame:
+    """Classes (c) that may link: most of their tokens occur in other such classes.
+
+    A set that links with another shares at least 80 % of its tokens with it. So
+    a class with fewer tokens in all other candidates together links with none
+    of them and is no candidate either; this is repeated while it pays. Texts
+    that only share a passage with many others go here, however many they are,
+    before any pair is made.
+    """
+    alive, step, left = whole.select("c"), 0, whole.count()
+    while left:
+        step += 1
+        sets = whole.join(alive, "c", "left_semi") if step > 1 else whole
+        tokens = sets.select("c", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+        met = tokens.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+        counted = (
+            tokens.join(met.filter("low <> high").select("token"), "token")
+            .groupBy("c", "n")
+            .agg(F.count("*").alias("k"))
+        )
+        alive = scratch.store(
+            f"covered-{step}", counted.filter(100 * F.col("k") >= PERCENT * F.col("n")).select("c")
+        )
+        if step > 1:
+            scratch.drop(f"covered-{step - 1}")
+        before, left = left, alive.count()
+        if 10 * left >= 9 * before:
+            break
+    return alive
+
+
 def text_key() -> Column:
     return F.xxhash64(F.col("text").cast("binary"))
 
@@ -245,7 +292,7 @@ def _judged(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
     )
     # The prefix is emptied where there is no set, so only real sets are exploded.
-    postings = _candidates(scratch, sets)
+    alive = _candidates(scratch, sets)
     doc = F.coalesce("doc_id", F.lit(_NO_ID))
     first = (
         sets.filter("n > 0")
@@ -253,16 +300,20 @@ def _judged(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.min(F.struct(doc.alias("doc"), "mark", "key")).alias("at"))
         .select("c", "at.*")
     )
-    alive = postings.select("c").distinct()
     whole = scratch.store(
         "whole",
         texts.withColumns(dict(zip(AT, row_key())))
         .join(first.join(alive, "c"), AT)
         .dropDuplicates(["c"])
         .select("c", "text")
-        .mapInArrow(_whole_sets, "c long, tokens binary"),
+        .mapInArrow(_whole_sets, "c long, tokens array<long>"),
     )
+    covered = _covered(scratch, whole)
+    whole = scratch.store("candidates", whole.join(covered, "c", "left_semi"))
+    scratch.drop("whole", "alive")
+    postings = _postings(scratch, whole)
     labels = link_rounds(scratch, postings, lambda pairs: _links(pairs, whole), PERCENT)
+    scratch.drop("candidates", "postings")
     own = first.select("c", F.struct(*AT).alias("at"))
     if labels is not None:
         labelled = own.join(labels, own["c"] == labels["node"], "left").select(
@@ -284,11 +335,15 @@ def ngram_components(docs: DataFrame) -> DataFrame:
 
     1. Tokens of set prefixes that occur in two classes are kept, and classes
        with too few of them to link are done.
-    2. The kept tokens, rarest first, give postings. In each round every
+    2. Of these classes, those go whose whole set is not covered to 80 % by the
+       others together, again and again: what shares a passage with many texts
+       but resembles none makes no pairs.
+    3. The rarest tokens of each set, by how many of these classes have them,
+       give postings: 20 % of the set and one, no more. In each round every
        posting with more than one component names pivots, and each pivot's
        candidates are stored in prefix trees that the pivot's set traverses,
        sharing partial overlaps and leaving subtrees by remaining length.
-    3. Links are contracted to components; pivots leave their postings. The
+    4. Links are contracted to components; pivots leave their postings. The
        number of pivots grows eightfold a round, so rounds are few and all
        pairs in different components have met at the end.
 
@@ -330,7 +385,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     rows = sets.select(doc, "mark", "key", "n").groupBy(*AT).agg(F.count("*").alias("rows"), F.max("n").alias("n"))
     chosen = classes.select("kept.*").distinct().unionByName(rows.filter("n = 0").select(*AT))
     kept = scratch.finish(rows.join(chosen, AT).select(*AT, "rows"), "kept")
-    names = {name: f"_near_{name}" for name in AT}
+    names = {name: free_name(docs, f"_near_{name}") for name in AT}
     keyed = docs.withColumns(dict(zip(names.values(), row_key())))
     found = keyed.join(kept.select(*AT).withColumnsRenamed(names), [*names.values()], "left_semi")
     if not kept.filter("rows > 1").isEmpty():

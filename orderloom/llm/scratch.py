@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.sources.tables import shared_folder
@@ -11,6 +14,28 @@ from orderloom.sources.tables import shared_folder
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_made: list[Scratch] | None = None
+
+
+@contextmanager
+def collected() -> Iterator[list[Scratch]]:
+    """The scratch folders that are opened inside, so that all they hold can go later."""
+    global _made
+    outer, _made = _made, []
+    try:
+        yield _made
+    finally:
+        _made = outer
+
+
+def free_name(frame: DataFrame, base: str) -> str:
+    """A column name that the frame does not have, in any letter case."""
+    taken = {c.lower() for c in frame.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
 class Scratch:
     """A folder of one operator run.
 
@@ -24,6 +49,8 @@ class Scratch:
         self.root = shared_folder(spark, name)
         self.step = 0
         self.paths: dict[str, str] = {}
+        if _made is not None:
+            _made.append(self)
 
     def store(self, name: str, frame: DataFrame) -> DataFrame:
         self.step += 1
