@@ -11,23 +11,33 @@ from orderloom.llm.ngram_join import drop_near_duplicates
 from orderloom.llm.packing import pack_documents
 from orderloom.llm.quality_rules import quality_rules
 from orderloom.llm.queries import language_labels, tokenizer_path
-from orderloom.llm.scratch import Scratch
+from orderloom.llm.scratch import Scratch, collected, free_name
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; a null text is rejected."""
-    return quality_rules(docs, carry="_row").filter("kept").select("_row.*")
+    row = free_name(docs, "_row")
+    return quality_rules(docs, carry=row).filter("kept").select(f"{row}.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text one stays, a row with the largest doc_id."""
-    kept = exact_dedup(docs).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")
+    """Of documents with equal text one stays, a row with the largest doc_id.
+
+    Rows that repeat both doc_id and text are one document. Only where there are
+    such rows do whole rows go through a second shuffle.
+    """
+    marked = exact_dedup(docs)
+    sha, kept_id, kept_sha = (free_name(docs, n) for n in ("_sha", "_kept_id", "_kept_sha"))
+    kept = marked.filter("kept").select(
+        F.col("doc_id").alias(kept_id), F.col("text_sha256").alias(kept_sha)
     )
-    keyed = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    same = F.col("_sha").eqNullSafe(F.col("_kept_sha")) & F.col("doc_id").eqNullSafe(F.col("_kept_id"))
-    # Rows that repeat both doc_id and text are one document.
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    keyed = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")), 256))
+    same = (F.col(sha) == F.col(kept_sha)) & F.col("doc_id").eqNullSafe(F.col(kept_id))
+    found = keyed.join(kept, same, "left_semi")
+    copies = marked.filter("group_size > 1").groupBy("doc_id", "text_sha256").count()
+    if not copies.filter("count > 1").isEmpty():
+        found = found.dropDuplicates(["doc_id", sha])
+    return found.drop(sha)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +47,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of small languages are repeated towards the target weights; none goes."""
-    return draw_copies(mix_sources(docs, language_labels(spark, sf_dir), into="_mix"), "_mix")
+    mix = free_name(docs, "_mix")
+    return draw_copies(mix_sources(docs, language_labels(spark, sf_dir), into=mix), mix)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +69,21 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each result is written and read again."""
+    """All stages over the documents; each result is written and read again.
+
+    Once it is written, the stage's input and all that its operators wrote on
+    their way are removed.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES:
-        docs = scratch.store(name.replace(" ", "-"), stage(spark, docs, sf_dir))
+        table = name.replace(" ", "-")
+        with collected() as made:
+            docs = scratch.store(table, stage(spark, docs, sf_dir))
+        for opened in made:
+            opened.drop(*opened.paths)
+        if before is not None:
+            scratch.drop(before)
+        before = table
     return docs
