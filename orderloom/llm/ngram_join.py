@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.components import link_rounds
+from orderloom.llm.components import components
 from orderloom.llm.scratch import Scratch, free_name
 from orderloom.llm.words import Words, chunks, mix, rolling, text_marks
 
 #: Words in a shingle; similarity in percent.
 SHINGLE, PERCENT = 5, 80
-#: Sets in one trie.
-BLOCK = 64
+#: Tokens of the sets in one trie, about.
+BLOCK = 1 << 18
 
 _NO_ID = (1 << 63) - 1
 #: What tells one row from others: its doc_id, its text's mark and a hash of the text.
@@ -115,6 +115,34 @@ class Node:
         self.least, self.below = 1 << 62, 0
 
 
+class Probes:
+    """Sets that traverse a trie together."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = np.array([len(tokens) for tokens in sets])
+        owner = np.repeat(np.arange(len(sets)), self.n)
+        self.tokens, place = np.unique(np.concatenate(sets), return_inverse=True)
+        self.places = owner * len(self.tokens) + place
+        self.starts = np.cumsum(self.n) - self.n
+        order = np.argsort(place, kind="stable")
+        self.owners = owner[order]
+        self.bounds = np.searchsorted(place[order], np.arange(len(self.tokens) + 1))
+
+    def holding(self, run: np.ndarray) -> np.ndarray:
+        """How many tokens of the run each probe has."""
+        at = np.searchsorted(self.tokens, run)
+        at = at[self.tokens[np.minimum(at, len(self.tokens) - 1)] == run]
+        rows = self.bounds[at + 1] - self.bounds[at]
+        ends = np.cumsum(rows)
+        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.bounds[at] - (ends - rows), rows)
+        return np.bincount(self.owners[take], minlength=len(self.n))
+
+    def used(self, probes: np.ndarray, last: int) -> np.ndarray:
+        """How many tokens these probes have up to the last one of a run."""
+        rank = np.searchsorted(self.tokens, last, "right")
+        return np.searchsorted(self.places, probes * len(self.tokens) + rank) - self.starts[probes]
+
+
 class Trie:
     """Sets in one global order, sharing what they have in common at the front."""
 
@@ -148,58 +176,123 @@ class Trie:
                 child = upper
             node, rest = child, rest[same:]
 
-    def linked(self, tokens: np.ndarray) -> list[int]:
-        """Keys of the sets whose Jaccard similarity with ``tokens`` suffices.
+    def linked(self, probes: Probes) -> Iterator[tuple[int, np.ndarray]]:
+        """(key, probes) of the sets whose Jaccard similarity with some probes suffices.
 
-        A node's overlap counts for every set below it. A subtree is left
-        when its overlap so far and what both sides have left cannot reach
-        the overlap that its smallest set needs.
+        All probes go through the trie in one traversal. A node's overlaps
+        count for every set below it. A probe leaves a subtree when its
+        overlap so far and what both sides have left cannot reach the overlap
+        that the smallest set there needs; a subtree without probes is left.
         """
-        found, n = [], len(tokens)
-        stack = [(self.root, 0, 0)]
+        n = probes.n
+        everyone = np.arange(len(n))
+        stack = [(self.root, everyone, np.zeros(len(n), dtype=np.int64), np.zeros(len(n), dtype=np.int64))]
         while stack:
-            node, overlap, used = stack.pop()
+            node, alive, overlap, used = stack.pop()
             if len(node.run):
-                at = np.searchsorted(tokens, node.run)
-                overlap += int((tokens[np.minimum(at, n - 1)] == node.run).sum())
-                used = int(np.searchsorted(tokens, node.run[-1], "right"))
+                overlap = overlap + probes.holding(node.run)[alive]
+                used = probes.used(alive, node.run[-1])
             for key, m in node.ends:
-                if 100 * overlap >= PERCENT * (n + m - overlap):
-                    found.append(key)
+                hit = alive[100 * overlap >= PERCENT * (n[alive] + m - overlap)]
+                if len(hit):
+                    yield key, hit
             for child in node.children.values():
-                most = overlap + min(n - used, len(child.run) + child.below)
-                if (100 + PERCENT) * most >= PERCENT * (n + child.least):
-                    stack.append((child, overlap, used))
-        return found
-
-
-def _probe_trie(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of one pivot with one block of sets."""
-    trie, probe = Trie(), None
-    for c, is_probe, tokens in zip(rows["c"], rows["is_probe"], rows["tokens"]):
-        values = np.asarray(tokens, dtype=np.int64)
-        if is_probe:
-            probe = values
-        else:
-            trie.insert(int(c), values)
-    found = trie.linked(probe)
-    return pd.DataFrame({"a": np.full(len(found), rows["pivot"].iloc[0]), "b": np.array(found, dtype=np.int64)})
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (pivot, c) pairs that link, verified on whole sets in blocks."""
-    counted = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = pairs.join(counted, "pivot").select(
-        "pivot", "c", F.pmod(F.xxhash64("c"), F.col("blocks")).alias("block")
+                most = overlap + np.minimum(n[alive] - used, len(child.run) + child.below)
+                keep = (100 + PERCENT) * most >= PERCENT * (n[alive] + child.least)
+                if keep.any():
+                    stack.append((child, alive[keep], overlap[keep], used[keep]))
+
+
+def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) between the labels of a block: each to the smallest it is joined with.
+
+    Rows that are ``stored`` make a trie, rows that are ``probe`` traverse it.
+    """
+    labels, of = np.unique(rows["label"].to_numpy(dtype=np.int64), return_inverse=True)
+    sets = [np.asarray(tokens, dtype=np.int64) for tokens in rows["tokens"]]
+    trie = Trie()
+    for i in np.flatnonzero(rows["stored"].to_numpy(dtype=bool)):
+        trie.insert(int(i), sets[i])
+    asking = np.flatnonzero(rows["probe"].to_numpy(dtype=bool))
+    merged = np.arange(len(labels))
+    if len(asking):
+        for i, hit in trie.linked(Probes([sets[j] for j in asking])):
+            met = np.unique(merged[np.append(of[asking[hit]], of[i])])
+            if len(met) > 1:
+                merged[np.isin(merged, met)] = met[0]
+    moved = np.flatnonzero(merged != np.arange(len(labels)))
+    return pd.DataFrame({"a": labels[moved], "b": labels[merged[moved]]})
+
+
+def _block_of(size: str) -> Column:
+    """Which of so many blocks a set is in."""
+    return F.pmod(F.xxhash64("c"), F.col(size))
+
+
+def _linked_classes(scratch: Scratch, postings: DataFrame, whole: DataFrame) -> DataFrame:
+    """Labels (node, label) of the classes that link through ``postings`` (token, c, n).
+
+    The smallest class of a token names its group, so the tokens that a family
+    of near copies shares make few groups, and two classes that share a token
+    meet in one. Groups of more than ``BLOCK`` tokens are split into blocks.
+
+    First each block joins itself. Then, in groups of several blocks that are
+    not one component, the classes outside the group's largest component go
+    through the tries of all of its blocks. What links inside a block leaves it
+    as a star.
+    """
+    low = postings.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    met = scratch.store(
+        "met",
+        postings.join(low.filter("low <> high").select("token", "low"), "token").select("low", "c", "n").distinct(),
+    )
+    large = scratch.store(
+        "large",
+        met.groupBy("low").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks")).filter("blocks > 1"),
     )
-    members = placed.withColumn("is_probe", F.lit(False))
-    probes = placed.select("pivot", F.col("pivot").alias("c"), "block", F.lit(True).alias("is_probe")).distinct()
-    return (
-        members.unionByName(probes)
-        .join(sets, "c")
-        .groupBy("pivot", "block")
-        .applyInPandas(_probe_trie, "a long, b long")
+    placed = met.join(large, "low", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+    own = placed.select(
+        "low", "c", _block_of("blocks").alias("block"), F.col("c").alias("label"),
+        F.lit(True).alias("stored"), F.lit(True).alias("probe"),
     )
+    links = own.join(whole, "c").groupBy("low", "block").applyInPandas(_block_links, "a long, b long")
+    labels = scratch.store("labels-1", components(scratch, "inside", links))
+    if not large.isEmpty():
+        known = scratch.store(
+            "known",
+            met.join(large, "low")
+            .join(labels, F.col("c") == F.col("node"), "left")
+            .select("low", "c", "n", "blocks", F.coalesce("label", "c").alias("label")),
+        )
+        counted = known.groupBy("low", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+        main = (
+            counted.groupBy("low")
+            .agg(F.max(F.struct("rows", "label", "n")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("k"))
+            .filter("k > 1")
+            .select("low", F.col("main.label").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("parts"))
+        )
+        live = scratch.store("live", known.join(main, "low"))
+        last = F.lit(1).cast("long")
+        stored = live.select(
+            "low", "c", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - last)).alias("part"),
+            _block_of("blocks").alias("block"), F.lit(True).alias("stored"), F.lit(False).alias("probe"),
+        )
+        probes = live.filter("label <> main").select(
+            "low", "c", "label", _block_of("parts").alias("part"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - last)).alias("block"),
+            F.lit(False).alias("stored"), F.lit(True).alias("probe"),
+        )
+        across = (
+            stored.unionByName(probes)
+            .join(whole, "c")
+            .groupBy("low", "part", "block")
+            .applyInPandas(_block_links, "a long, b long")
+        )
+        stars = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = scratch.store("labels-2", components(scratch, "across", across.unionByName(stars)))
+        scratch.drop("known", "live", "labels-1")
+    scratch.drop("met", "large")
+    return labels
 
 
 def _candidates(scratch: Scratch, sets: DataFrame) -> DataFrame:
@@ -312,15 +405,12 @@ def _judged(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = scratch.store("candidates", whole.join(covered, "c", "left_semi"))
     scratch.drop("whole", "alive")
     postings = _postings(scratch, whole)
-    labels = link_rounds(scratch, postings, lambda pairs: _links(pairs, whole), PERCENT)
+    labels = _linked_classes(scratch, postings, whole)
     scratch.drop("candidates", "postings")
     own = first.select("c", F.struct(*AT).alias("at"))
-    if labels is not None:
-        labelled = own.join(labels, own["c"] == labels["node"], "left").select(
-            "c", "at", F.coalesce("label", "c").alias("label")
-        )
-    else:
-        labelled = own.withColumn("label", F.col("c"))
+    labelled = own.join(labels, own["c"] == labels["node"], "left").select(
+        "c", "at", F.coalesce("label", "c").alias("label")
+    )
     labelled = scratch.store("labelled", labelled)
     least = labelled.groupBy("label").agg(F.min("at").alias("kept"))
     return sets, scratch.store("classes", labelled.join(least, "label").select("c", "kept"))
@@ -339,15 +429,16 @@ def ngram_components(docs: DataFrame) -> DataFrame:
        others together, again and again: what shares a passage with many texts
        but resembles none makes no pairs.
     3. The rarest tokens of each set, by how many of these classes have them,
-       give postings: 20 % of the set and one, no more. In each round every
-       posting with more than one component names pivots, and each pivot's
-       candidates are stored in prefix trees that the pivot's set traverses,
-       sharing partial overlaps and leaving subtrees by remaining length.
-    4. Links are contracted to components; pivots leave their postings. The
-       number of pivots grows eightfold a round, so rounds are few and all
-       pairs in different components have met at the end.
-
-    Pairs inside a component are never made, and no posting is cut.
+       are 20 % of the set and one; linked classes have one of them in common.
+       Classes that share one meet in a group, and each block of a group is a
+       prefix trie that its sets traverse together, sharing partial overlaps
+       and leaving subtrees by remaining length.
+    4. Links leave a block as stars and are contracted to components. In groups
+       of several blocks, only classes outside the group's largest component
+       still go through the other blocks; so two classes that share a token
+       end in one component or have been compared.
+
+    No posting is cut, and no table holds the pairs of a group.
 
     Returns doc_id, n_shingles, component_id, one row per row. A text
     without words has an empty set and is linked with nothing. A null doc_id

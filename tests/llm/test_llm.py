@@ -17,7 +17,7 @@ from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.language_id import language_id, learn_profiles, predict_languages
 from orderloom.llm.line_dedup import line_dedup
 from orderloom.llm.mixing import draw_copies, fit_domains, fit_rates, mix_sources
-from orderloom.llm.ngram_join import Trie, ngram_components
+from orderloom.llm.ngram_join import Probes, Trie, ngram_components
 from orderloom.llm.quality_classifier import classify_quality
 from orderloom.llm.quality_rules import quality_rules
 from orderloom.llm.substring_dedup import substring_dedup
@@ -135,9 +135,11 @@ def test_trie_against_all_pairs():
     trie = Trie()
     for k, s in enumerate(sets):
         trie.insert(k, s)
-    for probe in sets:
+    together = {(k, int(i)) for k, hit in trie.linked(Probes(sets)) for i in hit}
+    for i, probe in enumerate(sets):
         want = {k for k, s in enumerate(sets) if 100 * len(np.intersect1d(s, probe)) >= 80 * len(np.union1d(s, probe))}
-        assert set(trie.linked(probe)) == want
+        assert {k for k, _ in trie.linked(Probes([probe]))} == want
+        assert {k for k, j in together if j == i} == want
 
 
 def test_quality_rules(docs):

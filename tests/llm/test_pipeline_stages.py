@@ -113,12 +113,49 @@ def test_texts_that_share_half_make_no_pairs(spark, monkeypatch):
     own = [f"{passage} {prose(1000 + i, 100)}" for i in range(2000)]
     rows = [*enumerate(own), *[(5000 + i, own[i] + " tail") for i in range(20)]]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    pairs = []
-    links = join._links
-    monkeypatch.setattr(join, "_links", lambda p, sets: pairs.append(p.count()) or links(p, sets))
+    met = []
+    store = join.Scratch.store
+
+    def noted(self, name, table):
+        stored = store(self, name, table)
+        if name == "met":
+            met.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(join.Scratch, "store", noted)
     got = {r.doc_id: r.component_id for r in ngram_components(frame).collect()}
     assert got == {i: i - 5000 if i >= 5000 else i for i, _ in rows}
-    assert sum(pairs) < 200
+    assert 0 < sum(met) < 200
+
+
+def test_family_in_many_blocks_against_all_pairs(spark, monkeypatch):
+    """Noisy copies of one text, of which many link only through others, and short blocks."""
+    import random
+
+    import orderloom.llm.ngram_join as join
+
+    monkeypatch.setattr(join, "BLOCK", 2_000)
+    draw, base = random.Random(5), prose(7, 120).split()
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(draw.randrange(6)):
+            words[draw.randrange(len(words))] = f"w{i}x{draw.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    rows += [(200 + i, prose(300 + i, 60)) for i in range(30)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    want = {i: i for i, _ in rows}
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and 100 * len(a & b) >= 80 * len(a | b) and want[i] != want[j]:
+                low, high = sorted((want[i], want[j]))
+                want = {k: low if v == high else v for k, v in want.items()}
+    steps = []
+    store = join.Scratch.store
+    monkeypatch.setattr(join.Scratch, "store", lambda self, name, t: steps.append(name) or store(self, name, t))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in ngram_components(frame).collect()} == want
+    assert len({want[i] for i in range(150)}) > 1 and "live" in steps
 
 
 def test_sha_names_the_text(spark, sf_dir):
