@@ -49,3 +49,9 @@ def test_routing_upper_cases_once_for_each_deciding_field(inbound):
     parsed = parse_orders(inbound(order([line()])))
     plan = parsed.select("route")._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < plan.count("upper(") <= 2
+
+
+def test_line_partitions_are_not_joined_by_their_size(spark, tmp_path):
+    folder = _tables(spark, tmp_path, [(4, 3, DAY)], [(4, 1, 1, 1, 5.0, 1.0, DAY)])
+    plan = purchase_orders(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
