@@ -18,6 +18,7 @@ from orderloom.llm.language_id import language_id, learn_profiles, predict_langu
 from orderloom.llm.line_dedup import line_dedup
 from orderloom.llm.mixing import draw_copies, fit_domains, fit_rates, mix_sources
 from orderloom.llm.ngram_join import Probes, Trie, ngram_components
+from orderloom.llm import quality_classifier as quality
 from orderloom.llm.quality_classifier import classify_quality
 from orderloom.llm.quality_rules import quality_rules
 from orderloom.llm.substring_dedup import substring_dedup
@@ -238,6 +239,37 @@ def test_language_and_quality_held_out(spark, sf_dir):
     assert scored.filter("predicted = quality").count() >= 0.95 * scored.count()
 
 
+def test_quality_learns_from_every_label(spark):
+    n = 30_000
+    texts = [f"{'x' * (i % 7)}{i} {i * i}" for i in range(n)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    good = np.array([i % 10 > 0 or i % 3 == 0 for i in range(n)])
+    labels = spark.createDataFrame([(i, int(q)) for i, q in enumerate(good)], "doc_id long, quality int")
+    ranking = quality.learn_ranking(table, labels)
+    x = quality.features(pa.array(texts)).astype(np.float32).astype(float)
+    assert np.allclose(ranking.mean, x.mean(axis=0), rtol=1e-9, atol=1e-12)
+    assert np.allclose(ranking.scale, np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1.0))
+    raw = ranking.raw(x)
+    assert ranking.at_cut == pytest.approx(np.quantile(raw, 1 - good.mean()), abs=1e-9)
+    assert raw[good].mean() > raw[~good].mean()
+
+
+def test_every_group_of_pairs_has_both_labels(spark):
+    rows = [(i, int(i != 7), f"text {i}".encode(), 1) for i in range(10_000)]
+    labelled = spark.createDataFrame(rows, "mark long, quality int, x binary, w long")
+    groups = quality._groups(labelled, 9_999, 1).collect()
+    assert len(groups) == 3 and all(len(r["bads"]) == 1 for r in groups)
+    assert sorted(g["x"] for r in groups for g in r["goods"]) == sorted(r[2] for r in rows if r[1])
+
+
+def test_rank_of_repeated_values(spark):
+    values = [(1.0, 3), (1.0, 2), (2.5, 4), (-7.0, 1), (1e9, 2)]
+    scores = spark.createDataFrame(values, "raw double, w long")
+    whole = np.repeat(*map(np.array, zip(*values)))
+    for share in (0.0, 0.3, 0.5, 0.87, 1.0):
+        assert quality._quantile(scores, share, len(whole)) == pytest.approx(np.quantile(whole, share))
+
+
 def test_language_of_odd_texts(docs):
     languages, profiles = learn_profiles(docs)
     got = {r["doc_id"]: r for r in language_id(docs, languages, profiles).collect()}
