@@ -6,6 +6,7 @@ import pytest
 from conftest import line, order, rows
 from pyspark.sql import functions as F
 
+from orderloom.functions import sdq
 from orderloom.operators.allocations import (
     line_stores,
     lines_without_sdq,
@@ -259,3 +260,30 @@ def test_stores_pair_by_number_whatever_the_digits(spark, inbound):
         [("1", 5)], [], [("8", 2)]
     ]
     assert [[p["qty"] for p in row["some"]] for row in found] == [[5], [], [2]]
+
+
+def test_odd_keys_pair_with_the_next_number(spark):
+    """Keys outside two digits take the general way, and give what it gave."""
+    maps = [
+        {"SDQ03": "1", "SDQ04": "5", "SDQ01": "EA", "SDQ9": "2", "SDQ10": "6", "SDQ09": "3"},
+        {"SDQ99": "4", "SDQ100": "7", "SDQ0099": "5", "SDQ0100": None, "SDQ199999999": "8"},
+        {"SDQ200000000": "9", "SDQ1000000003": "6", "SDQ1000000004": "2", "SDQ7": "7", "SDQ008": "3"},
+        {"SDQ11": "8", "SDQ12": None, "SDQ012": "4", "SDQ13\n": "9", "SDQ014": "2", "XSDQ15": "1"},
+    ]
+    frame = spark.createDataFrame([(maps,)], "maps array<map<string,string>>")
+    told = frame.select(
+        F.transform(sdq.pairs(F.col("maps")), lambda x: F.struct(x["segment"], x["store_number"], x["qty"])),
+        F.size(sdq.positive_pairs(F.col("maps"))),
+        sdq.repeated_numbers(F.col("maps")),
+    ).first()
+    assert sorted(map(tuple, told[0]), key=str) == [
+        (0, "1", 5), (0, "2", 6), (0, "3", 6), (1, "4", 7), (1, "5", None),
+        (2, "6", 2), (2, "7", 3), (3, "8", None), (3, "9", 2),
+    ]
+    assert (told[1], told[2]) == (7, True)
+
+
+def test_partner_is_worked_out_once_per_store(spark):
+    frame = spark.createDataFrame([], "maps array<map<string,string>>")
+    plan = frame.select(sdq.positive_pairs(F.col("maps")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") < 10
