@@ -55,7 +55,7 @@ def link_rounds(
     verify: Callable[[DataFrame], DataFrame],
     percent: int,
 ) -> DataFrame | None:
-    """Labels (node, label) of items linked through postings (token, c, n).
+    """Labels (node, label) of items linked through postings (token, c, n, pivot).
 
     In each round every token met by more than one component names pivots;
     the pairs of a pivot and an item of another component, whose sizes n
@@ -64,15 +64,21 @@ def link_rounds(
     pivots of a token grow eightfold a round, so every pair that shares a
     token ends in one component or has been verified, after few rounds and
     without the pairs inside a component. None if nothing shares a token.
+
+    The pivots of the first round come with the postings: ``pivot`` is the
+    smallest item of the token. Sizes are left to ``verify`` there.
     """
-    labels, step = None, 0
+    if postings.isEmpty():
+        return None
+    others = postings.filter("c <> pivot")
+    pairs = scratch.store("pairs-0", others.select("pivot", "c").distinct())
+    links = scratch.store("links-0", verify(pairs))
+    labels = scratch.store("labels-0", components(scratch, "round-0", links))
+    scratch.drop("pairs-0", "links-0", *[n for n in scratch.paths if n.startswith("round-0-")])
+    postings, step = others.select("token", "c", "n"), 1
     while not postings.isEmpty():
-        known = (
-            postings.withColumn("label", F.col("c"))
-            if labels is None
-            else postings.join(labels, postings["c"] == labels["node"], "left").select(
-                "token", "c", "n", F.coalesce("label", "c").alias("label")
-            )
+        known = postings.join(labels, postings["c"] == labels["node"], "left").select(
+            "token", "c", "n", F.coalesce("label", "c").alias("label")
         )
         mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         live = scratch.store(
@@ -99,16 +105,16 @@ def link_rounds(
             .distinct(),
         )
         links = scratch.store(f"links-{step}", verify(pairs))
-        if labels is not None:
-            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = scratch.store(f"labels-{step}", components(scratch, f"round-{step}", links))
         met = pivots.select("token", F.col("pivot").alias("c"))
         postings = scratch.store(
             f"postings-{step}", live.select("token", "c", "n").join(met, ["token", "c"], "left_anti")
         )
         used = [f"{name}-{step}" for name in ("live", "pivots", "pairs", "links")]
-        if step:
-            used += [f"labels-{step - 1}", f"postings-{step - 1}"]
+        used.append(f"labels-{step - 1}")
+        if step > 1:
+            used.append(f"postings-{step - 1}")
         edges = [name for name in scratch.paths if name.startswith(f"round-{step}-edges-")]
         scratch.drop(*used, *edges)
         step += 1

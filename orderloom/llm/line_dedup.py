@@ -1,15 +1,19 @@
-"""Fuzzy line deduplication by MinHash, built-in functions only."""
+"""Fuzzy line deduplication by MinHash; shingles are cut by numpy, batch by batch."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.components import link_rounds
 from orderloom.llm.scratch import Scratch
+from orderloom.llm.words import SPAN, mix
 
 #: Bytes of UTF-8 in a character shingle; similarity in percent.
 SHINGLE, PERCENT = 8, 80
@@ -25,88 +29,114 @@ def _lines(docs: DataFrame) -> Column:
     return F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
 
 
-def _once(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)`` with the value computed once and handed on without a copy."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+def _spans(lines: pa.Array, *others: pa.Array) -> Iterator[slice]:
+    """Consecutive rows of about ``SPAN`` bytes of text, one row at least."""
+    sizes = sum(pc.binary_length(a).to_numpy().astype(np.int64) for a in (lines, *others))
+    span = (np.cumsum(sizes) - sizes) // SPAN
+    edges = [0, *(np.flatnonzero(np.diff(span)) + 1).tolist(), len(sizes)]
+    for begin, end in zip(edges, edges[1:]):
+        if begin < end:
+            yield slice(begin, end)
 
 
-def _shingles(line: Column) -> Column:
-    """Sorted distinct hashes of a line's shingles; a short line is one shingle."""
+def _shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of all lines, and where each line's begin.
 
-    def cut(raw: Column) -> Column:
-        last = F.greatest(F.octet_length(raw) - SHINGLE, F.lit(0))
-        places = F.sequence(F.lit(1), last + 1)
-        hashes = F.transform(places, lambda i: F.xxhash64(F.substring(raw, i, F.lit(SHINGLE))))
-        return F.sort_array(F.array_distinct(hashes))
-
-    return _once(line.cast("binary"), cut)
-
-
-def _signature(hashes: Column) -> Column:
-    """The smallest hash of each bin that has one; the bin is the hash's top bits."""
-    return F.filter(
-        hashes,
-        lambda v, i: F.coalesce(
-            F.shiftrightunsigned(v, 64 - BIN_BITS)
-            != F.shiftrightunsigned(F.get(hashes, i - 1), 64 - BIN_BITS),
-            F.lit(True),
-        ),
-    )
-
-
-def _tokens(signature: Column) -> Column:
-    """One hash per band that has a value, of the band's minima; they are neighbours."""
-
-    def band(value: Column) -> Column:
-        return F.shiftrightunsigned(value, 64 - BAND_BITS)
-
-    def token(value: Column, i: Column) -> Column:
-        opens = F.coalesce(band(F.get(signature, i - 1)) != band(value), F.lit(True))
-        following = [F.get(signature, i + k) for k in range(1, 1 << (BIN_BITS - BAND_BITS))]
-        minima = [F.when(band(v) == band(value), v) for v in following]
-        return F.when(opens, F.xxhash64(value, *minima))
-
-    return F.filter(F.transform(signature, token), lambda t: t.isNotNull())
-
-
-def _banded(line: Column) -> Column:
-    """A line's number of shingles n and one token per band that has a value."""
-    return _once(
-        _shingles(line),
-        lambda hashes: F.struct(
-            F.size(hashes).cast("long").alias("n"),
-            _once(_signature(hashes), _tokens).alias("tokens"),
-        ),
-    )
-
-
-def _alike(line: Column, other: Column) -> Column:
-    """Whether the lines' whole shingle sets have the similarity."""
-    return _once(
-        _shingles(line),
-        lambda a: _once(
-            _shingles(other),
-            lambda b: _once(
-                F.size(F.array_intersect(a, b)),
-                lambda both: 100 * both >= PERCENT * (F.size(a) + F.size(b) - both),
-            ),
-        ),
-    )
+    A shingle is its bytes as a number, mixed without loss. A line shorter than a
+    shingle has none: it is like no other line.
+    """
+    lines = lines.cast(pa.large_string())
+    bounds = np.frombuffer(lines.buffers()[1], dtype=np.int64)
+    bounds = bounds[lines.offset : lines.offset + len(lines) + 1]
+    counts = np.maximum(np.diff(bounds) - (SHINGLE - 1), 0)
+    first = np.concatenate([[0], np.cumsum(counts)])
+    if not first[-1]:
+        return np.empty(0, dtype=np.uint64), first
+    data = np.frombuffer(lines.buffers()[2], dtype=np.uint8)
+    grams = np.ndarray(len(data) - (SHINGLE - 1), dtype="<u8", buffer=data, strides=(1,))
+    hashes = mix(grams[np.arange(first[-1]) + np.repeat(bounds[:-1] - first[:-1], counts)])
+    edges = first.tolist()
+    for begin, end in zip(edges, edges[1:]):
+        hashes[begin:end].sort()
+    new = np.empty(len(hashes), dtype=bool)
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[first[:-1][counts > 0]] = True
+    return hashes[new], np.concatenate([[0], np.cumsum(new)])[first]
+
+
+def _tokens(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One hash per line and band that has a value, of the band's minima; where each line's begin.
+
+    A minimum is the smallest hash of a bin; the bin is the hash's top bits, so
+    the minima of a band are neighbours.
+    """
+    lines = len(bounds) - 1
+    owner = np.repeat(np.arange(lines), np.diff(bounds))
+
+    def opens(bits: int) -> np.ndarray:
+        top = hashes >> np.uint64(64 - bits)
+        new = np.ones(len(top), dtype=bool)
+        new[1:] = (top[1:] != top[:-1]) | (owner[1:] != owner[:-1])
+        return new
+
+    low = opens(BIN_BITS)
+    hashes, owner = hashes[low], owner[low]
+    begin = np.flatnonzero(opens(BAND_BITS))
+    length = np.diff(np.append(begin, len(hashes)))
+    tokens = mix(hashes[begin])
+    for k in range(1, 1 << (BIN_BITS - BAND_BITS)):
+        more = length > k
+        tokens[more] = mix(tokens[more] ^ hashes[begin[more] + k])
+    held = np.bincount(owner[begin], minlength=lines)
+    return tokens.view(np.int64), np.concatenate([[0], np.cumsum(held)])
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(c, line) to (c, n, tokens): a line's number of shingles, and its tokens."""
+    for batch in batches:
+        for span in _spans(batch["line"]):
+            part = batch.slice(span.start, span.stop - span.start)
+            hashes, bounds = _shingles(part["line"])
+            tokens, edges = _tokens(hashes, bounds)
+            listed = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(tokens))
+            yield pa.RecordBatch.from_arrays(
+                [part["c"], pa.array(np.diff(bounds), pa.int64()), listed], ["c", "n", "tokens"]
+            )
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, line, other) to the (a, b) whose whole shingle sets have the similarity."""
+    for batch in batches:
+        for span in _spans(batch["line"], batch["other"]):
+            part = batch.slice(span.start, span.stop - span.start)
+            (one, at), (two, to) = _shingles(part["line"]), _shingles(part["other"])
+            held, met = np.diff(at) + np.diff(to), []
+            for i in range(len(part)):
+                pair = np.concatenate((one[at[i] : at[i + 1]], two[to[i] : to[i + 1]]))
+                pair.sort()
+                met.append(np.count_nonzero(pair[1:] == pair[:-1]))
+            both = np.array(met, dtype=np.int64)
+            links = pa.array((both > 0) & (100 * both >= PERCENT * (held - both)))
+            yield part.select(["a", "b"]).filter(links)
 
 
 def _postings(scratch: Scratch, items: DataFrame) -> DataFrame:
-    """(token, c, n) of the tokens that several items have.
+    """(token, c, n, pivot) of the tokens that several items have; the pivot is the smallest.
 
     Tokens go through in ``PASSES`` parts, so a shuffle holds one part only.
     """
-    signed = scratch.store("signed", items.select("c", _banded(F.col("line")).alias("bands")))
+    signed = scratch.store(
+        "signed",
+        items.select("c", "line").mapInArrow(_signed, "c long, n long, tokens array<long>"),
+    )
     parts = []
     for part in range(PASSES):
-        mine = F.filter("bands.tokens", lambda t: F.pmod(t, F.lit(PASSES)) == part)
-        tokens = signed.select("c", F.col("bands.n").alias("n"), F.explode(mine).alias("token"))
-        shared = tokens.groupBy("token").count().filter("count > 1").select("token")
+        mine = F.filter("tokens", lambda t: F.pmod(t, F.lit(PASSES)) == part)
+        tokens = signed.select("c", "n", F.explode(mine).alias("token"))
+        counted = tokens.groupBy("token").agg(F.count("*").alias("items"), F.min("c").alias("pivot"))
+        shared = counted.filter("items > 1").select("token", "pivot")
         shared = scratch.store(f"shared-{part}", shared)
-        parts.append(scratch.store(f"met-{part}", tokens.join(shared, "token").select("token", "c", "n")))
+        parts.append(scratch.store(f"met-{part}", tokens.join(shared, "token").select("token", "c", "n", "pivot")))
         scratch.drop(f"shared-{part}")
     scratch.drop("signed")
     return reduce(DataFrame.unionByName, parts)
@@ -141,23 +171,23 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     )
     items = scratch.store(
         "items",
-        placed.groupBy("line")
+        placed.groupBy(F.xxhash64("line").alias("c"), "line")
         .agg(F.min(F.struct("doc", "mark", "place")).alias("first"))
-        .select(F.xxhash64("line").alias("c"), "first", "line"),
+        .select("c", "first", "line"),
     )
     postings = _postings(scratch, items)
     # Hashes are many times the text, so lines travel and are cut again.
     lines = scratch.store(
         "lines", items.select("c", "line").join(postings.select("c").distinct(), "c", "left_semi")
     )
-    pivots = lines.select(F.col("c").alias("pivot"), F.col("line").alias("pivot_line"))
+    pivots = lines.select(F.col("c").alias("pivot"), F.col("line").alias("other"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         return (
             pairs.join(lines, "c")
             .join(pivots, "pivot")
-            .filter(_alike(F.col("line"), F.col("pivot_line")))
-            .select(F.col("pivot").alias("a"), F.col("c").alias("b"))
+            .select(F.col("pivot").alias("a"), F.col("c").alias("b"), "line", "other")
+            .mapInArrow(_alike, "a long, b long")
         )
 
     labels = link_rounds(scratch, postings, verify, PERCENT)

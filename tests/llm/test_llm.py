@@ -15,6 +15,7 @@ from orderloom.llm import packing, queries
 from orderloom.llm.chat_format import chat_format
 from orderloom.llm.exact_dedup import exact_dedup
 from orderloom.llm.language_id import language_id, learn_profiles, predict_languages
+from orderloom.llm import line_dedup as line_dedup_module
 from orderloom.llm.line_dedup import line_dedup
 from orderloom.llm.mixing import draw_copies, fit_domains, fit_rates, mix_sources
 from orderloom.llm.ngram_join import Probes, Trie, ngram_components
@@ -361,3 +362,35 @@ def test_mixing_reports_missed_targets(spark):
     frame = spark.createDataFrame(soft_texts(500), "doc_id long, text string, domain string")
     with pytest.warns(UserWarning, match="de: .* of .*"):
         mix_sources(frame, frame, {"de": 0.999, "en": 0.001})
+
+
+def test_line_shingles_and_bands():
+    """Shingles of a batch are those of its lines, whatever lies around them; short lines have none."""
+    texts = ["abcdefgh", "short", "", "aaaaaaaaaaaa", "é" * 6, "abcdefghi" * 40]
+    lines = pa.array(["before it", *texts, "behind it"]).slice(1, len(texts))
+    hashes, bounds = line_dedup_module._shingles(lines)
+    tokens, edges = line_dedup_module._tokens(hashes, bounds)
+    for i, text in enumerate(texts):
+        raw = text.encode()
+        grams = {raw[j : j + 8] for j in range(len(raw) - 7)}
+        values = np.array([int.from_bytes(g, "little") for g in grams], dtype=np.uint64)
+        mine = hashes[bounds[i] : bounds[i + 1]]
+        assert mine.tolist() == sorted(line_dedup_module.mix(values).tolist())
+        assert edges[i + 1] - edges[i] == len({h >> 60 for h in mine.tolist()})
+    alone = line_dedup_module._tokens(*line_dedup_module._shingles(pa.array(texts[-1:])))[0]
+    assert alone.tolist() == tokens[edges[-2] :].tolist()
+
+
+def test_line_verification_is_exact():
+    base = "the quick brown fox jumps over the lazy dog near the river"
+    pairs = [(base, base + "!"), (base, base[:40]), ("short", "shirt"), (base, base.upper()), (base, base[5:] + "x")]
+    batch = pa.RecordBatch.from_pydict(
+        {"a": list(range(5)), "b": list(range(5)), "line": [p[0] for p in pairs], "other": [p[1] for p in pairs]}
+    )
+
+    def near(one, two):
+        one, two = ({t[j : j + 8] for j in range(len(t) - 7)} for t in (one, two))
+        return bool(one & two) and 100 * len(one & two) >= 80 * len(one | two)
+
+    (got,) = line_dedup_module._alike(iter([batch]))
+    assert got["a"].to_pylist() == [i for i, p in enumerate(pairs) if near(*p)]
