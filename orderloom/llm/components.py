@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.scratch import Scratch
 
+#: How many times more pivots a token has in the next round.
+GROWTH = 32
+
 
 def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over (a, b) edges."""
@@ -51,71 +54,68 @@ def components(scratch: Scratch, name: str, links: DataFrame) -> DataFrame:
 
 def link_rounds(
     scratch: Scratch,
+    name: str,
     postings: DataFrame,
+    signed: DataFrame,
+    alike: Column,
     verify: Callable[[DataFrame], DataFrame],
-    percent: int,
 ) -> DataFrame | None:
-    """Labels (node, label) of items linked through postings (token, c, n, pivot).
+    """Labels (node, label) of items linked through postings (token, c, pivot).
 
     In each round every token met by more than one component names pivots;
-    the pairs of a pivot and an item of another component, whose sizes n
-    allow ``percent``, go to ``verify``, which returns the links (a, b).
-    Pivots then leave their postings, as they have met everyone there. The
-    pivots of a token grow eightfold a round, so every pair that shares a
-    token ends in one component or has been verified, after few rounds and
-    without the pairs inside a component. None if nothing shares a token.
+    the pairs of a pivot and an item of another component whose signatures m
+    of ``signed`` (c, m) are ``alike`` (columns m and pivot_m) go to ``verify``,
+    which returns the links (a, b). Pivots then leave their postings, as they
+    have met everyone there. The pivots of a token grow ``GROWTH`` times a round,
+    so every such pair ends in one component or has been verified, after few
+    rounds and without the pairs inside a component. None if nothing shares a token.
 
     The pivots of the first round come with the postings: ``pivot`` is the
-    smallest item of the token. Sizes are left to ``verify`` there.
+    smallest item of the token.
     """
     if postings.isEmpty():
         return None
+    pivot_signed = signed.select(F.col("c").alias("pivot"), F.col("m").alias("pivot_m"))
     others = postings.filter("c <> pivot")
-    pairs = scratch.store("pairs-0", others.select("pivot", "c").distinct())
-    links = scratch.store("links-0", verify(pairs))
-    labels = scratch.store("labels-0", components(scratch, "round-0", links))
-    scratch.drop("pairs-0", "links-0", *[n for n in scratch.paths if n.startswith("round-0-")])
-    postings, step = others.select("token", "c", "n"), 1
-    while not postings.isEmpty():
+    pairs = others.select("pivot", "c").distinct().join(signed, "c").join(pivot_signed, "pivot")
+    pairs = scratch.store(f"{name}-pairs-0", pairs.filter(alike).select("pivot", "c"))
+    links = scratch.store(f"{name}-links-0", verify(pairs))
+    labels = scratch.store(f"{name}-labels-0", components(scratch, f"{name}-round-0", links))
+    scratch.drop(*[n for n in scratch.paths if n.startswith((f"{name}-pairs-0", f"{name}-links-0", f"{name}-round-0-"))])
+    postings, step = others.select("token", "c"), 1
+    while True:
         known = postings.join(labels, postings["c"] == labels["node"], "left").select(
-            "token", "c", "n", F.coalesce("label", "c").alias("label")
+            "token", "c", F.coalesce("label", "c").alias("label")
         )
         mixed = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         live = scratch.store(
-            f"live-{step}", known.join(mixed.filter("low <> high").select("token"), "token")
+            f"{name}-live-{step}",
+            known.join(mixed.filter("low <> high").select("token"), "token").join(signed, "c"),
         )
-        group = F.pmod(F.xxhash64("c", F.lit(step)), F.lit(8**step))
-        pivots = scratch.store(
-            f"pivots-{step}",
-            live.groupBy("token", group.alias("g"))
-            .agg(F.min(F.struct("c", "n", "label")).alias("p"))
-            .select(
-                "token",
-                F.col("p.c").alias("pivot"),
-                F.col("p.n").alias("m"),
-                F.col("p.label").alias("pivot_label"),
-            ),
+        if live.isEmpty():
+            break
+        group = F.pmod(F.xxhash64("c", F.lit(step)), F.lit(GROWTH**step))
+        first = live.groupBy("token", group.alias("g")).agg(F.min("c").alias("c")).select("token", "c")
+        met = scratch.store(f"{name}-met-pivots-{step}", first)
+        pivots = live.join(met, ["token", "c"]).select(
+            "token", F.col("c").alias("pivot"), F.col("m").alias("pivot_m"), F.col("label").alias("pivot_label")
         )
         pairs = scratch.store(
-            f"pairs-{step}",
+            f"{name}-pairs-{step}",
             live.join(pivots, "token")
             .filter("label <> pivot_label")
-            .filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-            .select("pivot", "c")
+            .filter(alike)
+            .select(F.least("pivot", "c").alias("pivot"), F.greatest("pivot", "c").alias("c"))
             .distinct(),
         )
-        links = scratch.store(f"links-{step}", verify(pairs))
-        links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = scratch.store(f"labels-{step}", components(scratch, f"round-{step}", links))
-        met = pivots.select("token", F.col("pivot").alias("c"))
+        links = scratch.store(f"{name}-links-{step}", verify(pairs))
+        if not links.isEmpty():
+            edges = links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+            labels = scratch.store(f"{name}-labels-{step}", components(scratch, f"{name}-round-{step}", edges))
         postings = scratch.store(
-            f"postings-{step}", live.select("token", "c", "n").join(met, ["token", "c"], "left_anti")
+            f"{name}-postings-{step}", live.select("token", "c").join(met, ["token", "c"], "left_anti")
         )
-        used = [f"{name}-{step}" for name in ("live", "pivots", "pairs", "links")]
-        used.append(f"labels-{step - 1}")
-        if step > 1:
-            used.append(f"postings-{step - 1}")
-        edges = [name for name in scratch.paths if name.startswith(f"round-{step}-edges-")]
-        scratch.drop(*used, *edges)
+        used = [f"{name}-{kind}-{step}" for kind in ("live", "met-pivots", "pairs", "links")]
+        scratch.drop(*used, *[n for n in scratch.paths if n.startswith(f"{name}-round-{step}-edges-")])
         step += 1
     return labels

@@ -394,3 +394,27 @@ def test_line_verification_is_exact():
 
     (got,) = line_dedup_module._alike(iter([batch]))
     assert got["a"].to_pylist() == [i for i, p in enumerate(pairs) if near(*p)]
+
+
+def test_line_sketches_spare_verification(spark, monkeypatch):
+    """Lines that share half their text but are not alike are not verified in pairs; near copies all go."""
+    draw = np.random.default_rng(5)
+
+    def words(n):
+        return " ".join("".join(map(chr, draw.integers(97, 123, 6))) for _ in range(n))
+
+    shared = words(25)
+    lines = [f"{shared} {words(25)}" for _ in range(120)]
+    copies = [line[:-2] + "zz" for line in lines[:40]]
+    rows, stored, store = list(enumerate(lines + copies)), [], line_dedup_module.Scratch.store
+
+    def counted(self, name, frame):
+        table = store(self, name, frame)
+        if "pairs" in name:
+            stored.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup_module.Scratch, "store", counted)
+    got = {r["doc_id"]: r["n_removed"] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {doc for doc, gone in got.items() if gone} == set(range(120, 160))
+    assert stored and sum(stored) < 3 * len(rows)
