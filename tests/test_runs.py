@@ -430,6 +430,37 @@ def test_stream_drops_what_is_delivered_again(spark, inbound, store, tmp_path, m
     assert counts(store)["details"] == 8
 
 
+def test_a_large_ledger_is_not_broadcast(spark, store):
+    ids = spark.range(300_000)
+    store.commit("details", ids.withColumnRenamed("id", "source_id"), "first")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        with store.pinned():
+            due = pending(ids, store.ledger(["details"]), "details")
+            plan = due._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_run_has_its_settings_and_puts_them_back(spark, inbound, store, monkeypatch):
+    """Small splits, since documents cost CPU, and no sort before a table is split by a few values."""
+    split, files = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
+    plans, write = [], ReportStore.write_report
+
+    def noted(self, table, rows_, run, part_by=None):
+        plans.append((spark.conf.get(split), spark.conf.get(files)))
+        write(self, table, rows_, run, part_by)
+
+    monkeypatch.setattr(ReportStore, "write_report", noted)
+    had = spark.conf.getAll
+    full_run.run_all_reports(store, inbound(sent(0)))
+    assert plans and all(int(s) <= 16 << 20 and int(f) > 16 for s, f in plans)
+    with pytest.raises(OSError), store.pinned():
+        raise OSError("lost")
+    assert spark.conf.getAll == had
+
+
 def test_report_quantities_agree(spark, sf_dir):
     """Positive quantities of the details add up in every summing report."""
     from orderloom.registry.queries import _allocations
