@@ -15,7 +15,7 @@ from orderloom.operators.allocations import (
     sdq_segments,
 )
 from orderloom.operators.orders import order_lines
-from orderloom.plans import reports
+from orderloom.plans import full_run, reports
 from orderloom.plans.prepare import attributed_lines, document_totals, order_allocations
 
 PAIR = {"SDQ01": "EA", "SDQ02": "92", "SDQ03": "0045", "SDQ04": "5", "SDQ05": "0046", "SDQ06": "0"}
@@ -287,3 +287,27 @@ def test_partner_is_worked_out_once_per_store(spark):
     frame = spark.createDataFrame([], "maps array<map<string,string>>")
     plan = frame.select(sdq.positive_pairs(F.col("maps")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") < 10
+
+
+def test_keys_of_the_original_pairing_do_not_run_together(inbound):
+    """Line and UPC are one text in the key; 1 and 11 are not 11 and 1."""
+    staged = inbound(
+        order(
+            [
+                line(LineItemId="1", ProductId="11", sdq={"SDQ03": "0001", "SDQ04": "2"}),
+                line(LineItemId="11", ProductId="1", sdq={"SDQ03": "0003", "SDQ04": "4"}),
+            ],
+            kind="PREPACK",
+        )
+    )
+    found = order_allocations(staged, pairing="store")
+    assert rows(found, "store_number", "qty") == [("0001", 2), ("0003", 4)]
+
+
+def test_totals_of_own_pairings_are_sums_alone(inbound):
+    staged = inbound(order([line(sdq={"SDQ03": "0001", "SDQ04": "2"})])).withColumn(
+        "arrival_day", F.lit("2024-01-01")
+    )
+    kinds = full_run._staged_lines(staged, "original").schema
+    assert kinds["store_totals"].dataType.names == ["total_qty", "total_amount"]
+    assert "repeated_keys" in kinds["totals"].dataType.names
