@@ -13,6 +13,7 @@ from orderloom.plans.compaction import compact
 from orderloom.sources.notes import Folder
 from orderloom.sources.staging import FinishedDays, Staging
 from orderloom.sources.tables import ReportStore, read_inbound
+from orderloom.streaming import incremental
 from orderloom.streaming.incremental import incremental_run
 
 SDQ = {"SDQ03": "0001", "SDQ04": "2", "SDQ05": "0002", "SDQ06": "3"}
@@ -461,6 +462,31 @@ def test_a_run_has_its_settings_and_puts_them_back(spark, inbound, store, monkey
     assert spark.conf.getAll == had
 
 
+def test_payloads_do_not_go_through_the_stream(spark, inbound, store, tmp_path, monkeypatch):
+    """Nor are they shuffled to leave out what is delivered again."""
+    seen, plans = [], []
+    rows_of, write = incremental.batch_rows, ReportStore.write_report
+
+    def noted(store_, batch, *more):
+        seen.append(batch.columns)
+        found = rows_of(store_, batch, *more)
+        if found is not None:
+            plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(incremental, "batch_rows", noted)
+    folder, checkpoint = str(tmp_path / "in [1]"), str(tmp_path / "checkpoint")
+    for some in ("id < 3", "id < 5"):
+        inbound(*[sent(i) for i in range(4)]).filter(some).coalesce(1).write.mode("append").parquet(folder)
+        query = incremental_run(spark, folder.replace("[", "\\[").replace("]", "\\]"), store, checkpoint)
+        query.awaitTermination()
+        assert query.exception() is None
+    assert seen and all("json" not in columns for columns in seen)
+    assert len(plans) == 2 and "Exchange" not in plans[0]
+    assert "BroadcastHashJoin" in plans[1] and "Exchange hashpartitioning" not in plans[1]
+    assert rows(full_run.report_headers(store, "details"), "source_id") == [(1,), (2,), (3,), (4,)]
+
+
 def test_report_quantities_agree(spark, sf_dir):
     """Positive quantities of the details add up in every summing report."""
     from orderloom.registry.queries import _allocations
